@@ -156,11 +156,11 @@ def service_ad(text: Column) -> Column:
     own, low = rx.lines(text), F.lower(text)
     words = rf"(?iu)(?:^|{rx.NOT_W})(?:{SERVICE_WORDS})(?:{rx.NOT_W}|$)"
     return (
-        (F.size(own) >= 4)
+        F.contains(low, F.lit("accepting"))
+        & F.contains(low, F.lit("offering"))
+        & (F.size(own) >= 4)
         & (_count(own, lambda l: rx.found(l, BULLET_LINE)) >= 2)
         & (_count(own, lambda l: rx.found(l, words)) >= 2)
-        & F.contains(low, F.lit("accepting"))
-        & F.contains(low, F.lit("offering"))
     )
 
 

@@ -26,10 +26,12 @@ from .redelivery import identifier, keep_first
 @dataclass
 class Spec:
     """``top``: columns of the root to carry down. ``peak``: columns of which the maximum along the path counts.
+    ``keep``: columns of the node itself, so that they needn't be joined again.
     ``path``: collect the ids from the root to the node."""
 
     top: list[str] = field(default_factory=list)
     peak: list[str] = field(default_factory=list)
+    keep: list[str] = field(default_factory=list)
     path: bool = False
 
 
@@ -48,12 +50,12 @@ def resolve(nodes: DataFrame, spec: Spec | None = None, scratch: Scratch | None
     spec = spec or Spec()
     scratch = scratch or Scratch(nodes.sparkSession, "hierarchy")
     tops, peaks = [f"top_{c}" for c in spec.top], [f"peak_{c}" for c in spec.peak]
-    carried = ["id", "ptr", "dist", *tops, *peaks, *(["path"] if spec.path else [])]
+    carried = ["ptr", "dist", *tops, *peaks, *(["path"] if spec.path else [])]
 
-    child = nodes.where("parent IS NOT NULL").select("id", F.col("parent").alias("ptr"), *[F.col(c).alias(f"own_{c}") for c in spec.peak])
+    child = nodes.where("parent IS NOT NULL").select("id", F.col("parent").alias("ptr"), *[F.col(c).alias(f"own_{c}") for c in spec.peak], *spec.keep)
     above = nodes.select(F.col("id").alias("ptr"), *[F.col(c).alias(f"top_{c}") for c in spec.top], *[F.col(c).alias(f"above_{c}") for c in spec.peak])
     links = child.join(above, "ptr").select(
-        "id", "ptr", F.lit(1).alias("dist"), *tops,
+        "id", "ptr", F.lit(1).alias("dist"), *spec.keep, *tops,
         *[_greatest(F.col(f"own_{c}"), F.col(f"above_{c}")).alias(f"peak_{c}") for c in spec.peak],
         *([F.array("ptr").alias("path")] if spec.path else []),
     )
@@ -63,13 +65,14 @@ def resolve(nodes: DataFrame, spec: Spec | None = None, scratch: Scratch | None
     n = open_.count()
     while n:
         known = "at_root" in look.columns
-        up = look.select(F.col("id").alias("at"), *[F.col(c).alias(f"up_{c}") for c in carried if c != "id"], *(["at_root"] if "at_root" in look.columns else []))
+        up = look.select(F.col("id").alias("at"), *[F.col(c).alias(f"up_{c}") for c in carried], *(["at_root"] if "at_root" in look.columns else []))
         j = open_.join(up, open_["ptr"] == up["at"], "left")
         hit = F.col("at").isNotNull()
         moved = j.select(
             "id",
             F.when(hit, F.col("up_ptr")).otherwise(F.col("ptr")).alias("ptr"),
             (F.col("dist") + F.coalesce(F.col("up_dist"), F.lit(0))).alias("dist"),
+            *spec.keep,
             *[F.when(hit, F.col(f"up_{c}")).otherwise(F.col(c)).alias(c) for c in tops],
             *[_greatest(F.col(c), F.col(f"up_{c}")).alias(c) for c in peaks],
             *([F.when(hit, F.concat("up_path", "path")).otherwise(F.col("path")).alias("path")] if spec.path else []),
@@ -81,7 +84,7 @@ def resolve(nodes: DataFrame, spec: Spec | None = None, scratch: Scratch | None
         done.append(step.where("at_root").drop("at_root"))
         if left == n:  # no node reached its root: circles
             done.append(still.select(
-                "id", F.lit(None).cast("string").alias("ptr"), F.lit(-1).alias("dist"),
+                "id", F.lit(None).cast("string").alias("ptr"), F.lit(-1).alias("dist"), *spec.keep,
                 *[F.lit(None).cast(still.schema[c].dataType).alias(c) for c in [*tops, *peaks, *(["path"] if spec.path else [])]],
             ))
             break
@@ -103,7 +106,7 @@ def resolve(nodes: DataFrame, spec: Spec | None = None, scratch: Scratch | None
     out = done[0] if done else open_.limit(0)
     for d in done[1:]:
         out = out.unionByName(d)
-    return out.select("id", F.col("ptr").alias("root"), F.col("dist").alias("depth"), *tops, *peaks, *([F.expr("concat(path, array(id))").alias("path")] if spec.path else []))
+    return out.select("id", F.col("ptr").alias("root"), F.col("dist").alias("depth"), *spec.keep, *tops, *peaks, *([F.expr("concat(path, array(id))").alias("path")] if spec.path else []))
 
 
 def nodes_of(df: DataFrame, key: str, parent: str, time: str, tie: str, columns: list[str] | None = None, scratch: Scratch | None = None) -> DataFrame:
