@@ -5,8 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import conversations, formatdup
+from ..operators.redelivery import keep_first
+from . import bpe, conversations, formatdup, pii
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -15,12 +17,26 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def kept(spark: SparkSession, d: str) -> DataFrame:
+    return keep_first(table(spark, d, "filter_me"), "message_id", "timestamp", "delivery_id", ["content"])
+
+
+def records(spark: SparkSession, d: str) -> DataFrame:
+    """``src, rec_id, text`` of the kept messages and the exported conversations."""
+    own = kept(spark, d).select(F.lit("filter_me").alias("src"), F.col("message_id").alias("rec_id"), F.col("content").alias("text"))
+    return own.unionByName(table(spark, d, "dump").select(F.lit("dump").alias("src"), F.col("row_id").cast("string").alias("rec_id"), "text"))
+
+
 def queries() -> dict[str, Query]:
     return {
+        "p1_found": lambda s, d: pii.mentions(records(s, d), "text", "src", "rec_id"),
+        "p1_redacted": lambda s, d: records(s, d).withColumn("text", pii.redact("text")),
         "p2_found": lambda s, d: conversations.conversations(table(s, d, "filter_me")),
         "p2_left_out": lambda s, d: conversations.left_out(table(s, d, "filter_me")),
         "p5_found": lambda s, d: formatdup.copies(table(s, d, "dump")),
         "p5_collapsed": lambda s, d: formatdup.collapsed(table(s, d, "dump")),
+        "p8_ids": lambda s, d: table(s, d, "documents").select("doc_id", bpe.encode("text").alias("ids")),
+        "p8_decoded": lambda s, d: table(s, d, "documents").select("doc_id", bpe.decoder()(bpe.encode("text")).alias("text")),
     }
 
 
