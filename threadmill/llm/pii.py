@@ -447,8 +447,9 @@ def mentions(df: DataFrame, text: str, *keys: str) -> DataFrame:
     """``keys, kind, nth``: a row per mention, counted from 1 within text and kind by place. Texts without one, NULL and
     empty texts give no rows."""
     own = df.select(*[quoted(k) for k in keys], F.col(quoted(text)).alias("__text")).where("__text <> ''")
-    # nth is counted inside the array, so there is nothing to sort or shuffle
-    out = own.withColumn("__spans", _find(F.col("__text"))).where(F.size("__spans") > 0)
+    # nth is counted inside the array, so there is nothing to sort or shuffle; no filter on the spans, which would run
+    # the Python function once more below itself
+    out = own.withColumn("__spans", _find(F.col("__text")))
     out = out.select(*[quoted(k) for k in keys], F.explode(F.transform("__spans", _numbered)).alias("__m"))
     return out.select(*[quoted(k) for k in keys], F.col("__m.kind").alias("kind"), F.col("__m.nth").alias("nth"))
 

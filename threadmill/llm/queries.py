@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.redelivery import keep_first
-from . import bpe, conversations, formatdup, pii
+from . import bpe, conversations, formatdup, language, pairs, pii
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -27,15 +27,24 @@ def records(spark: SparkSession, d: str) -> DataFrame:
     return own.unionByName(table(spark, d, "dump").select(F.lit("dump").alias("src"), F.col("row_id").cast("string").alias("rec_id"), "text"))
 
 
+def all_pairs(spark: SparkSession, d: str) -> DataFrame:
+    return pairs.pairs(table(spark, d, "done"), "done").unionByName(pairs.pairs(table(spark, d, "resampled"), "resampled"))
+
+
 def queries() -> dict[str, Query]:
     return {
         "p1_found": lambda s, d: pii.mentions(records(s, d), "text", "src", "rec_id"),
         "p1_redacted": lambda s, d: records(s, d).withColumn("text", pii.redact("text")),
         "p2_found": lambda s, d: conversations.conversations(table(s, d, "filter_me")),
         "p2_left_out": lambda s, d: conversations.left_out(table(s, d, "filter_me")),
+        "p3_found": lambda s, d: pairs.found(all_pairs(s, d), table(s, d, "documents")),
+        "p3_scores": lambda s, d: pairs.scored(all_pairs(s, d), table(s, d, "documents")),
         "p5_found": lambda s, d: formatdup.copies(table(s, d, "dump")),
         "p5_collapsed": lambda s, d: formatdup.collapsed(table(s, d, "dump")),
         "p8_ids": lambda s, d: table(s, d, "documents").select("doc_id", bpe.encode("text").alias("ids")),
+        "p10_found": lambda s, d: language.found(table(s, d, "documents")),
+        "p10_languages": lambda s, d: language.languages(table(s, d, "documents")),
+        "p10_segments": lambda s, d: language.segments(table(s, d, "documents")),
         "p8_decoded": lambda s, d: table(s, d, "documents").select("doc_id", bpe.decoder()(bpe.encode("text")).alias("text")),
     }
 
