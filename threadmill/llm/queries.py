@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.redelivery import keep_first
-from . import bpe, conversations, formatdup, language, pairs, pii
+from . import abuse, bpe, conversations, formatdup, language, mix, pairs, pii
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -42,6 +42,11 @@ def queries() -> dict[str, Query]:
         "p5_found": lambda s, d: formatdup.copies(table(s, d, "dump")),
         "p5_collapsed": lambda s, d: formatdup.collapsed(table(s, d, "dump")),
         "p8_ids": lambda s, d: table(s, d, "documents").select("doc_id", bpe.encode("text").alias("ids")),
+        "p4_found": lambda s, d: abuse.found(records(s, d), table(s, d, "abuse_labels")),
+        "p4_passages": lambda s, d: abuse.passages(records(s, d), table(s, d, "abuse_labels")),
+        "p4_rates": lambda s, d: abuse.rates(table(s, d, "dump"), table(s, d, "abuse_labels")),
+        "p9_mix": lambda s, d: mix.mix(table(s, d, "documents"), table(s, d, "mix_targets")),
+        "p9_shares": lambda s, d: mix.shares(table(s, d, "documents"), table(s, d, "mix_targets")),
         "p10_found": lambda s, d: language.found(table(s, d, "documents")),
         "p10_languages": lambda s, d: language.languages(table(s, d, "documents")),
         "p10_segments": lambda s, d: language.segments(table(s, d, "documents")),
