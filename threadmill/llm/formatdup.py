@@ -24,8 +24,8 @@ CUT = rf"[\r\n;|,]+|{rx.S}/{rx.S}"
 
 
 def letters(c: Column) -> Column:
-    """Letters and digits in order, case folded. Upper before lower case, so that one letter and its two-letter capital agree."""
-    folded = F.translate(F.lower(F.upper(c)), "ς", "σ")
+    """Letters and digits in order, case folded: upper before lower case, and the one letter whose capital is two."""
+    folded = F.replace(F.translate(F.lower(F.upper(c)), "ςẞ", "σß"), F.lit("ß"), F.lit("ss"))
     return rx.sub(folded, r"[^\p{L}\p{N}]+")
 
 
