@@ -39,3 +39,10 @@ class Scratch:
         jvm = self.spark._jvm
         where = jvm.org.apache.hadoop.fs.Path(path)
         where.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(where, True)
+
+
+def spread(scan: DataFrame, per_core: int = 2) -> DataFrame:
+    """A scan of few splits, dealt out to all cores; a scan that has enough splits is left alone, so nothing is moved at
+    scale. For operators that spend far more time on a row than moving it takes. ``scan`` must not contain a shuffle."""
+    want = per_core * scan.sparkSession.sparkContext.defaultParallelism
+    return scan if scan.rdd.getNumPartitions() >= want else scan.repartition(want)
