@@ -65,6 +65,18 @@ TRAILER = re.compile(r"[\s\"'“”«»*_~`|)\]]*(?:(?:[:;x=][-']?[\w()]|lol|xd|
 END_MARK = re.compile(r"[.!?…][\"'“”»)\]*_\s]*$")
 
 
+def body_of(text: str) -> str:
+    """Text without emoticons, closing quotes and the like at its end."""
+    while True:
+        end = text[-48:]
+        m = TRAILER.search(end)
+        if m is None or m.start() == len(end):
+            return text
+        text = text[: len(text) - len(end) + m.start()]
+        if m.start() > 0:
+            return text
+
+
 def tokens(text: str) -> list[str]:
     return ["#" if t[0].isdigit() else t.lower() for t in TOKEN.findall(text)]
 
@@ -85,16 +97,20 @@ def tail_keys(tok: list[str]) -> tuple[int, int, int]:
 
 def continuations(texts: Iterator[str]) -> Counter:
     """Counts of (key, what follows there): 0 a sentence end, 1 more of the sentence, 2 the open end of the text."""
-    out: Counter = Counter()
+    seen: Counter = Counter()
     for text in texts:
-        pad = ["^"] * 4 + tokens(TRAILER.sub("", text))
-        for i in range(4, len(pad)):
-            if not _is_word(pad[i]):
-                continue
-            kind = 2 if i + 1 == len(pad) else 0 if pad[i + 1][0] in ".!?…" else 1
-            out[_key("3", pad[i - 2 : i + 1]), kind] += 1
-            out[_key("*", pad[i - 3 : i]), kind] += 1
-            out[_key("2", pad[i - 1 : i + 1]), kind] += 1
+        pad = ["^", "^", "^", "^", *tokens(body_of(text))]
+        last = len(pad) - 1
+        for i in range(4, last + 1):
+            w = pad[i]
+            if w[0].isalpha() or w == "#":
+                seen[pad[i - 3], pad[i - 2], pad[i - 1], w, 2 if i == last else 0 if pad[i + 1][0] in ".!?…" else 1] += 1
+    # four words in a row are counted once, the keys made from them once each
+    out: Counter = Counter()
+    for (a, b, c, w, kind), n in seen.items():
+        out[_key("3", [b, c, w]), kind] += n
+        out[_key("*", [a, b, c]), kind] += n
+        out[_key("2", [c, w]), kind] += n
     return out
 
 
@@ -139,6 +155,14 @@ DECLINE_WORDS = re.compile(
 HELP_WORDS = re.compile(
     r"\b(?:help|assist|answer|answering|comment|discuss|respond|request|question|topic|subject|provide|helfen|beantworten|antworten|äußern|aider|répondre|ayudar\w*|responder|contestar|ajudar|aiutar\w*|rispondere|helpen|antwoord\w*|beantwoorden|hjälpa|svara|pomóc|odpowiedzieć|помочь|ответить|отвечать)\b", re.I
 )
+# Words of which every phrase above has at least one.
+REFUSAL_WORDS = frozenset(
+    """sorry afraid can't cannot won't couldn't able allowed permitted supposed unable decline pass refuse rather answering can guidelines rules policy policies
+    terms right something isn't subject topic question not ai assistant bot helper moderator let's let appropriate ask contact kann darf werde möchte will leider leid frage
+    darüber je désolé désolée impossible dois préfère no siento prefiero debo tengo não desculpe desculpa lamento sinto prefiro tenho non dispiace spiacente scusa preferisco
+    devo kan mag wil zal helaas liever får vill tyvärr förlåt ledsen avstår nie przykro przepraszam niestety wolę не извините простите сожалению увы предпочитаю предпочёл лучше
+    мне нельзя""".split()
+)
 #: A refusal told about somebody or something else.
 REPORTED = re.compile(r"\b(?:they|he|she|it|the \w+|sie|ils?|ellos|él|ella) (?:declined|refused|rejected|said no|couldn't)|can't help (?:thinking|laughing|feeling|wondering)|sorry for (?:the|my|being)|can't (?:connect|log|open|see|find|reach)", re.I)
 ASKS_OTHER = re.compile(
@@ -162,7 +186,7 @@ def votes(question: str, answer: str, model: language.Model) -> list[int]:
     """Votes of all functions but those that need the corpus: 1 for, 0 against, -1 none; in the order of ``DEFECTS``."""
     a, q = answer or "", question or ""
     la, lq = letters(a), letters(q)
-    words = language.WORD.findall(a.lower())
+    words, qwords = language.WORD.findall(a.lower()), language.WORD.findall(q.lower())
     out = [int(not la), int(not re.search(r"\w", a.replace("_", ""))), 1 if len(a.strip()) == 0 else (-1 if not la else 0)]
     if not la:
         return out + [0] * (FUNCTIONS["copy"] + FUNCTIONS["refusal"] + FUNCTIONS["language"]) + [0]
@@ -173,34 +197,48 @@ def votes(question: str, answer: str, model: language.Model) -> list[int]:
         rest = la.replace(lq, "")
         lead = letters(LEAD_IN.sub("", a, count=1)) if LEAD_IN.match(a) else la
         out.append(int(len(rest) < len(la) and len(rest) <= max(14, 0)) if lq in la else 0)
-        qt, at = Counter(language.WORD.findall(q.lower())), Counter(words)
+        qt, at = Counter(qwords), Counter(words)
         inter = sum(min(qt[w], at[w]) for w in qt)
         new = sum(1 for w in at if w not in qt)
         out.append(int(inter >= 0.85 * sum(qt.values()) and new <= 3) if qt else -1)
-        grams = lambda s: {s[i : i + 4] for i in range(len(s) - 3)}
-        ga, gq = grams(lead), grams(lq)
-        out.append(int(len(ga & gq) / max(1, len(ga | gq)) >= 0.75))
-    # refusal
-    reported = bool(REPORTED.search(a))
-    said = bool(REFUSE.search(a.replace("’", "'")))
+        if not 0.6 < len(lead) / len(lq) < 1.7:
+            out.append(0)
+        else:
+            grams = lambda s: {s[i : i + 4] for i in range(len(s) - 3)}
+            ga, gq = grams(lead), grams(lq)
+            out.append(int(len(ga & gq) / max(1, len(ga | gq)) >= 0.75))
+    # refusal: without any word of the phrases there is nothing to look for
+    bag = set(words)
+    reported = said = declined = False
+    if not bag.isdisjoint(REFUSAL_WORDS):
+        plain = a.replace("’", "'")
+        said = bool(REFUSE.search(plain))
+        declined = bool(DECLINE_WORDS.search(plain))
+        reported = (said or declined) and bool(REPORTED.search(plain))
     out.append(0 if reported else int(said))
-    out.append(0 if reported else int(bool(DECLINE_WORDS.search(a)) and bool(HELP_WORDS.search(a)) and len(words) < 40))
-    out.append(int(len(words) < 30 and said and not reported) if said or len(words) >= 30 else (0 if not DECLINE_WORDS.search(a) else -1))
-    shared = {w for w in words if len(w) > 3} & {w for w in language.WORD.findall(q.lower()) if len(w) > 3}
+    out.append(0 if reported else int(declined and bool(HELP_WORDS.search(a)) and len(words) < 40))
+    out.append(int(len(words) < 30 and said and not reported) if said or len(words) >= 30 else (-1 if declined else 0))
+    shared = {w for w in bag if len(w) > 3} & {w for w in qwords if len(w) > 3}
     out.append(0 if reported or (shared and not said) else (1 if said else -1 if len(words) < 12 else 0))
     # language
-    asked = bool(ASKS_OTHER.search(q))
-    fq, fa = language.identify(model, q), language.identify(model, a)
-    if asked or fq.lang is None or fa.lang is None or len(words) < 4:
-        out += [0 if asked else -1, 0, 0 if asked or len(words) < 4 else -1]
+    va, vq = model.score(words), model.score(qwords)
+    if len(words) < 4 or not qwords:
+        out += [-1, 0, -1]
+    elif va.argmax() == vq.argmax():
+        out += [0, 0, 0]
+    elif ASKS_OTHER.search(q):
+        out += [0, 0, 0]
     else:
-        other = fq.lang != fa.lang and fq.lang not in fa.mixed
-        whole = all(l != fq.lang for _, l, _ in fa.segments)
-        v = np.sum([model.word(w) for w in words], axis=0)
-        gap = v[language.LANGS.index(fa.lang)] - v[language.LANGS.index(fq.lang)]
-        out += [int(other and fa.confidence > 0.6), int(other and whole), int(other and gap > 5.0)]
+        fq, fa = language.identify(model, q), language.identify(model, a)
+        if fq.lang is None or fa.lang is None:
+            out += [-1, 0, -1]
+        else:
+            other = fq.lang != fa.lang and fq.lang not in fa.mixed
+            whole = all(l != fq.lang for _, l, _ in fa.segments)
+            gap = va[language.LANGS.index(fa.lang)] - va[language.LANGS.index(fq.lang)]
+            out += [int(other and fa.confidence > 0.6), int(other and whole), int(other and gap > 5.0)]
     # truncated: what the end itself says
-    body = TRAILER.sub("", a)
+    body = body_of(a)
     tail = tokens(body)
     if END_MARK.search(a.rstrip()) or END_MARK.search(body) or not tail:
         out.append(0)
@@ -265,7 +303,7 @@ def scored(own: DataFrame, documents: DataFrame) -> DataFrame:
             rows = []
             for q, a in zip(b["question"], b["answer"]):
                 v = votes(q, a, m)
-                k = tail_keys(tokens(TRAILER.sub("", a or ""))) if v[-1] != 0 else (None, None, None)
+                k = tail_keys(tokens(body_of(a or ""))) if v[-1] != 0 else (None, None, None)
                 rows.append((v, *k))
             # keys as nullable integers from the start: through floats they would lose their last digits
             columns = {k: pd.array([r[i] for r in rows], dtype="Int64") for i, k in enumerate(("k3", "kx", "k2"), 1)}

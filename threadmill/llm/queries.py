@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.durable import spread
 from ..operators.redelivery import keep_first
 from . import abuse, bpe, conversations, formatdup, language, mix, pairs, pii
 
@@ -28,7 +29,12 @@ def records(spark: SparkSession, d: str) -> DataFrame:
 
 
 def all_pairs(spark: SparkSession, d: str) -> DataFrame:
-    return pairs.pairs(table(spark, d, "done"), "done").unionByName(pairs.pairs(table(spark, d, "resampled"), "resampled"))
+    done, resampled = spread(table(spark, d, "done")), spread(table(spark, d, "resampled"))
+    return pairs.pairs(done, "done").unionByName(pairs.pairs(resampled, "resampled"))
+
+
+def documents(spark: SparkSession, d: str) -> DataFrame:
+    return spread(table(spark, d, "documents"))
 
 
 def queries() -> dict[str, Query]:
@@ -41,16 +47,16 @@ def queries() -> dict[str, Query]:
         "p3_scores": lambda s, d: pairs.scored(all_pairs(s, d), table(s, d, "documents")),
         "p5_found": lambda s, d: formatdup.copies(table(s, d, "dump")),
         "p5_collapsed": lambda s, d: formatdup.collapsed(table(s, d, "dump")),
-        "p8_ids": lambda s, d: table(s, d, "documents").select("doc_id", bpe.encode("text").alias("ids")),
+        "p8_ids": lambda s, d: documents(s, d).select("doc_id", bpe.encode("text").alias("ids")),
         "p4_found": lambda s, d: abuse.found(records(s, d), table(s, d, "abuse_labels")),
         "p4_passages": lambda s, d: abuse.passages(records(s, d), table(s, d, "abuse_labels")),
         "p4_rates": lambda s, d: abuse.rates(table(s, d, "dump"), table(s, d, "abuse_labels")),
-        "p9_mix": lambda s, d: mix.mix(table(s, d, "documents"), table(s, d, "mix_targets")),
-        "p9_shares": lambda s, d: mix.shares(table(s, d, "documents"), table(s, d, "mix_targets")),
-        "p10_found": lambda s, d: language.found(table(s, d, "documents")),
-        "p10_languages": lambda s, d: language.languages(table(s, d, "documents")),
-        "p10_segments": lambda s, d: language.segments(table(s, d, "documents")),
-        "p8_decoded": lambda s, d: table(s, d, "documents").select("doc_id", bpe.decoder()(bpe.encode("text")).alias("text")),
+        "p9_mix": lambda s, d: mix.mix(documents(s, d), table(s, d, "mix_targets")),
+        "p9_shares": lambda s, d: mix.shares(documents(s, d), table(s, d, "mix_targets")),
+        "p10_found": lambda s, d: language.found(documents(s, d)),
+        "p10_languages": lambda s, d: language.languages(documents(s, d)),
+        "p10_segments": lambda s, d: language.segments(documents(s, d)),
+        "p8_decoded": lambda s, d: documents(s, d).select("doc_id", bpe.decoder()(bpe.encode("text")).alias("text")),
     }
 
 
