@@ -101,3 +101,16 @@ def test_space_class_is_python_space(spark):
     chars = [chr(i) for i in range(0x3100) if not 0xD800 <= i < 0xE000]
     got = col(spark, lambda c: rx.found(c, rf"\A{rx.S}\z"), chars)
     assert [c for c, g in zip(chars, got) if g != c.isspace()] == []
+
+
+def test_tokenizer_len(spark):
+    import os
+
+    from threadmill.functions.tokens import tokenizer_len
+
+    path = "/opt/tokenizers/byte_bpe_50k.json"
+    if not os.path.exists(path):
+        pytest.skip("no tokenizer file here")
+    assert col(spark, lambda c: tokenizer_len(c, path), ["hello world", "", None]) == [2, 0, None]
+    assert col(spark, lambda c: tokenizer_len(c, path, longest=1), ["hello world"]) == [1]
+    assert col(spark, lambda c: tokenizer_len(c, "/nowhere"), ["x"]) == [None]

@@ -94,7 +94,7 @@ def s_slang(x: str) -> str:
     return x
 
 
-def s_reason() -> str:
+def s_reason(source: str = "dump") -> str:
     def msgs(f: Callable[[str], str]) -> str:
         return s_any("msgs", f, "mm")
 
@@ -133,11 +133,23 @@ def s_reason() -> str:
     ]
     whens = " ".join(f"WHEN {t} THEN " + (f"'NONLATIN_SPAM_' || {label}" if n == "NONLATIN" else f"'{n}'") for n, t in tests)
     return (
-        f"WITH m AS (SELECT row_id, text, {S_MSGS} AS msgs FROM dump WHERE text IS NOT NULL), "
-        f"w AS (SELECT row_id, text, msgs, {weird} AS weird FROM m) SELECT row_id, CASE {whens} END AS reason FROM w"
+        f"WITH m AS (SELECT row_id, text, {S_MSGS} AS msgs FROM {source} WHERE text IS NOT NULL), "
+        f"w AS (SELECT row_id, text, msgs, {weird} AS weird FROM m) SELECT row_id, text, CASE {whens} END AS reason FROM w"
     )
 
 
+def s_chain(source: str, out: str = "text") -> str:
+    """The first stage's transforms, one subquery each."""
+    steps = [
+        "replace(text, '||', '')", s_hash_angle(), s_sub("text", f"@{rx.NOT_S}+{rx.S}*"),
+        s_sub(s_sub("replace(text, chr(129344), '')", r"(?m):[ \t]*$"), r"(?m)^[ \t]*[.,]+"), s_sub("text", rx.EMOJI),
+        s_sub(s_sub(s_sub("text", rf"\.{rx.S}*,", ","), r",\.", "."), ",{2,}", ","), s_strip(s_sub(s_sub("text", " {2,}", " "), " ([.,!?;])", r"\1")),
+    ]
+    for i, step in enumerate(steps):
+        source = f"(SELECT row_id, {step} AS {'text' if i + 1 < len(steps) else out} FROM {source})"
+    return f"SELECT * FROM {source}"
+
+
 def s_invalid(source: str) -> str:
     pre = f"SELECT row_id, text, {S_ROLES} AS roles FROM {source} WHERE text IS NOT NULL"
     want = "CASE WHEN (i - 1) % 2 = 0 THEN roles[1] WHEN roles[1] = 'user' THEN 'assistant' ELSE 'user' END"
@@ -173,6 +185,8 @@ S_TREE = f"""WITH RECURSIVE {S_KEPT},
   tree AS (SELECT id, id AS root, 0 AS depth, id AS path FROM roots
     UNION ALL SELECT k.id, t.root, t.depth + 1, t.path || '/' || k.id FROM kept k JOIN tree t ON k.parent = t.id)"""
 
+S_TRIMMED = s_reason(f"({s_chain('dump')} WHERE text <> '')")
+
 # ---- queries ----------------------------------------------------------------------------------------------------------
 
 
@@ -297,6 +311,7 @@ def oracle_sql() -> dict[str, str]:
 
     stripped = s_sub(s_sub("text", " {2,}", " "), " ([.,!?;])", r"\1")
     tokens = f"len({s_all('text', text.TOKEN)})"
+    good = f"WITH g AS (SELECT row_id, {s_slang('text')} AS text FROM ({S_TRIMMED}) WHERE reason IS NULL)"
     dedup = "ROW_NUMBER() OVER (PARTITION BY {k} ORDER BY {o})"
     with_m = f"WITH m AS (SELECT row_id, {S_MESSAGES} AS m FROM dump WHERE text IS NOT NULL), k AS (SELECT * FROM m WHERE len(m) > 0)"
     cell = lambda c: f"SELECT CAST(delivery_id AS VARCHAR) AS row, '{c}' AS column, {c} AS original, {s_slang(c)} AS cleaned FROM filter_me"
@@ -334,7 +349,12 @@ def oracle_sql() -> dict[str, str]:
         "slang": msg(s_slang("content")),
         "slang_changes": f"SELECT * FROM ({cell('content')} UNION ALL {cell('guild_id')}) WHERE original IS DISTINCT FROM cleaned",
         "slang_everywhere": f"SELECT doc_id, {s_slang('text')} AS text, {s_slang('lang')} AS lang, {s_slang('source')} AS source FROM documents",
-        "reject_reason": s_reason(),
+        "reject_reason": f"SELECT row_id, reason FROM ({s_reason()})",
+        "transform_chain": s_chain("dump", "result"),
+        "trim_and_reject": S_TRIMMED,
+        "reason_histogram": f"SELECT reason, count(*) AS n FROM ({S_TRIMMED}) GROUP BY reason",
+        "smart_clean_done": f"{good} SELECT row_id, text, CAST({tokens} AS INTEGER) AS tokens FROM g JOIN ({s_invalid('g')}) USING (row_id) WHERE reason IS NULL",
+        "smart_clean_invalid": f"{good} SELECT row_id, reason FROM ({s_invalid('g')}) WHERE reason IS NOT NULL",
         "token_len": one(tokens, "documents", "doc_id"),
         "resample": f"SELECT row_id, CAST({tokens} AS INTEGER) AS tokens FROM dump WHERE text IS NOT NULL",
         "resample_top": f"SELECT row_id, CAST({tokens} AS INTEGER) AS tokens FROM dump WHERE text IS NOT NULL ORDER BY 2 DESC, 1 LIMIT 200",
