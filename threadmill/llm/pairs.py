@@ -163,6 +163,10 @@ REFUSAL_WORDS = frozenset(
     devo kan mag wil zal helaas liever får vill tyvärr förlåt ledsen avstår nie przykro przepraszam niestety wolę не извините простите сожалению увы предпочитаю предпочёл лучше
     мне нельзя""".split()
 )
+# English words among them that are everywhere; they need more beside them.
+_COMMON = frozenset("can right something question not let ask terms rules topic subject ai pass able policy policies will helper assistant bot moderator".split())
+RARE_REFUSAL_WORDS = REFUSAL_WORDS - _COMMON
+REFUSAL_STARTS = ("no can do", "not be right", "something i", "let us talk", "let us change", "not answering", "i will decline", "pass on", "not able to", "isn't a", "not a subject", "not a topic", "as the ", "as a", "please ask", "please contact", "against ")
 #: A refusal told about somebody or something else.
 REPORTED = re.compile(r"\b(?:they|he|she|it|the \w+|sie|ils?|ellos|él|ella) (?:declined|refused|rejected|said no|couldn't)|can't help (?:thinking|laughing|feeling|wondering)|sorry for (?:the|my|being)|can't (?:connect|log|open|see|find|reach)", re.I)
 ASKS_OTHER = re.compile(
@@ -178,8 +182,11 @@ OPEN_END = frozenset(
 LEAD_IN = re.compile(r"(?:you asked|you want to know|your question|question|q|du fragst|frage|vous demandez|question|preguntas|pregunta|hm+|well|so|ok(?:ay)?|ah|oh|you wrote|re)\W*", re.I)
 
 
+_NOT_LETTER = re.compile(r"[\W_]+")
+
+
 def letters(text: str) -> str:
-    return "".join(c for c in text.casefold() if c.isalnum())
+    return _NOT_LETTER.sub("", text.casefold())
 
 
 def votes(question: str, answer: str, model: language.Model) -> list[int]:
@@ -210,7 +217,8 @@ def votes(question: str, answer: str, model: language.Model) -> list[int]:
     # refusal: without any word of the phrases there is nothing to look for
     bag = set(words)
     reported = said = declined = False
-    if not bag.isdisjoint(REFUSAL_WORDS):
+    low = a.lower()
+    if not bag.isdisjoint(RARE_REFUSAL_WORDS) or any(p in low for p in REFUSAL_STARTS):
         plain = a.replace("’", "'")
         said = bool(REFUSE.search(plain))
         declined = bool(DECLINE_WORDS.search(plain))
@@ -221,15 +229,16 @@ def votes(question: str, answer: str, model: language.Model) -> list[int]:
     shared = {w for w in bag if len(w) > 3} & {w for w in qwords if len(w) > 3}
     out.append(0 if reported or (shared and not said) else (1 if said else -1 if len(words) < 12 else 0))
     # language
-    va, vq = model.score(words), model.score(qwords)
+    guess = model.leaning(words) if len(words) >= 4 and qwords else None
     if len(words) < 4 or not qwords:
         out += [-1, 0, -1]
-    elif va.argmax() == vq.argmax():
+    elif guess is not None and guess == model.leaning(qwords):
         out += [0, 0, 0]
     elif ASKS_OTHER.search(q):
         out += [0, 0, 0]
     else:
         fq, fa = language.identify(model, q), language.identify(model, a)
+        va = model.score(words)
         if fq.lang is None or fa.lang is None:
             out += [-1, 0, -1]
         else:
@@ -307,11 +316,14 @@ def scored(own: DataFrame, documents: DataFrame) -> DataFrame:
                 rows.append((v, *k))
             # keys as nullable integers from the start: through floats they would lose their last digits
             columns = {k: pd.array([r[i] for r in rows], dtype="Int64") for i, k in enumerate(("k3", "kx", "k2"), 1)}
-            head = {c: b[c].to_numpy() for c in ("src", "row_id", "pair_no")}
+            head = {"code": b["code"].to_numpy()}
             yield pd.DataFrame(head | {"v": pd.Series([r[0] for r in rows], dtype=object)} | columns)
 
-    judged, _ = scratch.put(own.mapInPandas(judge, "src string, row_id bigint, pair_no int, v array<int>, k3 bigint, kx bigint, k2 bigint"))
-    stats, _ = scratch.put(statistics(own.select(F.explode(F.array("question", "answer")).alias("text"))))
+    # a pair that occurs in several rows is judged once; the digest stands for it
+    coded, _ = scratch.put(own.withColumn("code", F.md5(F.concat_ws("\x00", F.coalesce("question", F.lit("")), F.coalesce("answer", F.lit(""))))))
+    each_once = coded.groupBy("code").agg(F.min("question").alias("question"), F.min("answer").alias("answer"))
+    judged, _ = scratch.put(each_once.mapInPandas(judge, "code string, v array<int>, k3 bigint, kx bigint, k2 bigint"))
+    stats, _ = scratch.put(statistics(coded.select(F.explode(F.array("question", "answer")).alias("text"))))
     # the tails in question are few; the counts are thinned to them before the join
     tails = judged.where("k3 IS NOT NULL")
     wanted = tails.select(F.explode(F.array("k3", "kx", "k2")).alias("key")).distinct()
@@ -327,9 +339,9 @@ def scored(own: DataFrame, documents: DataFrame) -> DataFrame:
         rate = F.try_divide(whole, whole + n("goes_on"))
         return F.when((n("goes_on") >= 3) & (rate < 0.004), 1).when((whole >= 1) & (rate >= 0.02), 0).otherwise(-1)
 
-    told = told.select("src", "row_id", "pair_no", F.concat("v", F.array(vote("s_k3"), vote("s_kx"), vote("s_k2"))).alias("v"))
-    rest = judged.where("k3 IS NULL").select("src", "row_id", "pair_no", F.concat("v", F.array(F.lit(0), F.lit(0), F.lit(0))).alias("v"))
-    both, _ = scratch.put(told.unionByName(rest))
+    told = told.select("code", F.concat("v", F.array(vote("s_k3"), vote("s_kx"), vote("s_k2"))).alias("v"))
+    rest = judged.where("k3 IS NULL").select("code", F.concat("v", F.array(F.lit(0), F.lit(0), F.lit(0))).alias("v"))
+    both, _ = scratch.put(coded.select("src", "row_id", "pair_no", "code").join(told.unionByName(rest), "code").drop("code"))
     at, out = 1, both
     for d in DEFECTS:
         k = FUNCTIONS[d]
