@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions import chatml, predicates, rx, slang, text
 from ..operators import clean, hierarchy, messages, redelivery, risk
+from ..operators.durable import spread
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -17,8 +18,13 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def wide(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    """For queries that spend far more time on a row than reading it takes."""
+    return spread(table(spark, folder, name))
+
+
 def scalar(f: Callable[[Column], Column], name: str = "dump", key: str = "row_id", col: str = "text", out: str = "result") -> Query:
-    return lambda spark, d: table(spark, d, name).select(key, f(F.col(col)).alias(out))
+    return lambda spark, d: wide(spark, d, name).select(key, f(F.col(col)).alias(out))
 
 
 # ---- SQL pieces -------------------------------------------------------------------------------------------------------
@@ -191,11 +197,11 @@ S_TRIMMED = s_reason(f"({s_chain('dump')} WHERE text <> '')")
 
 
 def _trimmed(spark: SparkSession, d: str) -> DataFrame:
-    return clean.trim_and_reject(table(spark, d, "dump"))
+    return clean.trim_and_reject(wide(spark, d, "dump"))
 
 
 def _reject_raw(spark: SparkSession, d: str) -> DataFrame:
-    df = table(spark, d, "dump").where("text IS NOT NULL").withColumn("turns", chatml.turns("text"))
+    df = wide(spark, d, "dump").where("text IS NOT NULL").withColumn("turns", chatml.turns("text"))
     return df.select("row_id", predicates.reason(F.col("text"), F.col("turns")).alias("reason"))
 
 
@@ -259,8 +265,8 @@ def queries() -> dict[str, Query]:
         "messages_filter_documented": lambda s, d: _messages(s, d, "documented"),
         "messages_clean_content": scalar(messages.clean_content, "filter_me", "delivery_id", "content"),
         "messages_has_word": scalar(lambda c: t.has_word(c, t.STOP_WORDS), "filter_me", "delivery_id", "content"),
-        "chat_turns": lambda s, d: table(s, d, "dump").select("row_id", F.posexplode(chatml.turns("text"))).select("row_id", F.col("pos").alias("turn"), "col.role", "col.msg"),
-        "chat_messages": lambda s, d: table(s, d, "dump").select("row_id", F.posexplode(chatml.messages("text")).alias("n", "msg")),
+        "chat_turns": lambda s, d: wide(s, d, "dump").select("row_id", F.posexplode(chatml.turns("text"))).select("row_id", F.col("pos").alias("turn"), "col.role", "col.msg"),
+        "chat_messages": lambda s, d: wide(s, d, "dump").select("row_id", F.posexplode(chatml.messages("text")).alias("n", "msg")),
         "chat_chain_hash": scalar(chatml.chain_hash),
         "chat_final_message": scalar(chatml.final_message),
         "chat_rebuild": scalar(lambda c: F.when(F.size(chatml.turns(c)) > 0, chatml.render(chatml.turns(c)))),
@@ -276,8 +282,8 @@ def queries() -> dict[str, Query]:
         "fix_end": scalar(t.fix_end),
         "preview": scalar(t.preview),
         "slang": scalar(slang.replace_slang, "filter_me", "delivery_id", "content"),
-        "slang_changes": lambda s, d: slang.slang_changes(table(s, d, "filter_me").select("delivery_id", "content", "guild_id"), "delivery_id"),
-        "slang_everywhere": lambda s, d: slang.replace_slang_everywhere(table(s, d, "documents").select("doc_id", "text", "lang", "source")),
+        "slang_changes": lambda s, d: slang.slang_changes(wide(s, d, "filter_me").select("delivery_id", "content", "guild_id"), "delivery_id"),
+        "slang_everywhere": lambda s, d: slang.replace_slang_everywhere(wide(s, d, "documents").select("doc_id", "text", "lang", "source")),
         "reject_reason": _reject_raw,
         "trim_and_reject": lambda s, d: _trimmed(s, d).select("row_id", "text", "reason"),
         "reason_histogram": lambda s, d: clean.reason_histogram(_trimmed(s, d)),
@@ -285,9 +291,9 @@ def queries() -> dict[str, Query]:
         "token_len": scalar(t.token_len, "documents", "doc_id"),
         "resample": resample_all,
         "resample_top": lambda s, d: clean.resample(table(s, d, "dump").select("row_id", "text"), n=200).select("row_id", "tokens"),
-        "validate": lambda s, d: clean.validate(table(s, d, "resampled")).select("row_id", "reason"),
+        "validate": lambda s, d: clean.validate(wide(s, d, "resampled")).select("row_id", "reason"),
         "validate_counts": _counts,
-        "done": lambda s, d: clean.validate(table(s, d, "resampled")).where("reason IS NULL").select("row_id", "text", "tokens", "source"),
+        "done": lambda s, d: clean.validate(wide(s, d, "resampled")).where("reason IS NULL").select("row_id", "text", "tokens", "source"),
         "dedupe_chats": lambda s, d: clean.dedupe_chats(table(s, d, "dump")).select("row_id"),
         "dedupe_chats_documented": lambda s, d: clean.dedupe_chats(table(s, d, "dump"), mode="documented").select("row_id"),
         "new_chains": lambda s, d: clean.new_chains(
@@ -295,10 +301,10 @@ def queries() -> dict[str, Query]:
         ).select("row_id"),
         "risk_normalize": scalar(risk.normalize_text, "filter_me", "delivery_id", "content"),
         "risk_pii": scalar(risk.has_pii, "filter_me", "delivery_id", "content"),
-        "risk_drop": lambda s, d: risk.risk_filter(table(s, d, "filter_me").repartition(8), ["content"]).select("delivery_id"),
-        "risk_redact": lambda s, d: risk.risk_filter(table(s, d, "filter_me").repartition(8), ["content"], "redact").select("delivery_id", "content"),
-        "smart_clean_done": lambda s, d: clean.smart_clean(table(s, d, "dump").select("row_id", "text", "source")).done.select("row_id", "text", "tokens"),
-        "smart_clean_invalid": lambda s, d: clean.smart_clean(table(s, d, "dump").select("row_id", "text", "source")).invalid.select("row_id", "reason"),
+        "risk_drop": lambda s, d: risk.risk_filter(wide(s, d, "filter_me"), ["content"]).select("delivery_id"),
+        "risk_redact": lambda s, d: risk.risk_filter(wide(s, d, "filter_me"), ["content"], "redact").select("delivery_id", "content"),
+        "smart_clean_done": lambda s, d: clean.smart_clean(wide(s, d, "dump").select("row_id", "text", "source")).done.select("row_id", "text", "tokens"),
+        "smart_clean_invalid": lambda s, d: clean.smart_clean(wide(s, d, "dump").select("row_id", "text", "source")).invalid.select("row_id", "reason"),
     }
 
 
