@@ -199,6 +199,56 @@ def test_defects(spark):
     assert pairs.found(pairs.pairs(df.limit(0), "done"), docs).count() == 0
 
 
+def readings(pattern):
+    """Texts that a pattern matches: every branch once, options left out and taken once."""
+    from re import _parser as P
+
+    def of(seq):
+        out = [""]
+        for op, arg in seq:
+            if op is P.LITERAL:
+                own = [chr(arg)]
+            elif op is P.IN:
+                own = [chr(x) for o, x in arg if o is P.LITERAL] if arg[0][0] is not P.NEGATE else ["-"]
+            elif op is P.SUBPATTERN:
+                own = of(arg[3])
+            elif op is P.BRANCH:
+                own = [t for s in arg[1] for t in of(s)]
+            elif op is P.MAX_REPEAT:
+                own = ([""] if arg[0] == 0 else []) + of(arg[2])
+            else:
+                own = ["-"] if op is P.ANY else [""]
+            out = [a + b for a in out for b in own]
+        return out
+
+    return of(P.parse(pattern))
+
+
+@pytest.mark.parametrize("pattern", [*pairs.REFUSALS, pairs.DECLINE_WORDS.pattern])
+def test_refusal_gate_holds_all_readings(pattern):
+    texts = readings(pattern)
+    assert texts and all(pairs.may_refuse(t) and pairs.may_refuse(t.upper()) for t in texts)
+    assert any(pairs.REFUSE.search(t) or pairs.DECLINE_WORDS.search(t) for t in texts)
+
+
+def test_refusal_gate_holds_all_cases():
+    import re
+    import sys
+
+    letters = {c for p in pairs.REFUSAL_PARTS for c in p}
+    same = re.compile(f"[{re.escape(''.join(sorted(letters)))}]", re.I)
+    for c in map(chr, range(sys.maxunicode + 1)):
+        if same.fullmatch(c):
+            assert c.translate(pairs._FOLDS).lower() in letters and re.fullmatch(re.escape(c.translate(pairs._FOLDS).lower()), c, re.I), c
+    assert "" not in pairs.REFUSAL_PARTS
+
+
+@pytest.mark.parametrize("answer", ["I will not answer that.", "I can not help with this one.", "I can’t help with that.", "I won’t discuss this here.", "Dazu will ich nichts sagen.", "Unfortunately this is outside of what I can answer."])
+def test_refusals_reach_the_patterns(model, answer):
+    at = pairs.FUNCTIONS["empty"] + pairs.FUNCTIONS["copy"]
+    assert 1 in pairs.votes("Why does the page ask me to sign in every day?", answer, model)[at : at + 2]
+
+
 def test_label_model_does_not_depend_on_size():
     counts = {(0, 0, -1): 900, (1, 1, 1): 40, (1, 0, -1): 30, (0, 1, 0): 10}
     a, b = pairs.label_model(counts), pairs.label_model({k: n * 1000 for k, n in counts.items()})

@@ -13,6 +13,7 @@ from __future__ import annotations
 import re
 from collections import Counter
 from collections.abc import Iterator
+from re import _parser
 
 import numpy as np
 import pandas as pd
@@ -155,18 +156,41 @@ DECLINE_WORDS = re.compile(
 HELP_WORDS = re.compile(
     r"\b(?:help|assist|answer|answering|comment|discuss|respond|request|question|topic|subject|provide|helfen|beantworten|antworten|äußern|aider|répondre|ayudar\w*|responder|contestar|ajudar|aiutar\w*|rispondere|helpen|antwoord\w*|beantwoorden|hjälpa|svara|pomóc|odpowiedzieć|помочь|ответить|отвечать)\b", re.I
 )
-# Words of which every phrase above has at least one.
-REFUSAL_WORDS = frozenset(
-    """sorry afraid can't cannot won't couldn't able allowed permitted supposed unable decline pass refuse rather answering can guidelines rules policy policies
-    terms right something isn't subject topic question not ai assistant bot helper moderator let's let appropriate ask contact kann darf werde möchte will leider leid frage
-    darüber je désolé désolée impossible dois préfère no siento prefiero debo tengo não desculpe desculpa lamento sinto prefiro tenho non dispiace spiacente scusa preferisco
-    devo kan mag wil zal helaas liever får vill tyvärr förlåt ledsen avstår nie przykro przepraszam niestety wolę не извините простите сожалению увы предпочитаю предпочёл лучше
-    мне нельзя""".split()
-)
-# English words among them that are everywhere; they need more beside them.
-_COMMON = frozenset("can right something question not let ask terms rules topic subject ai pass able policy policies will helper assistant bot moderator".split())
-RARE_REFUSAL_WORDS = REFUSAL_WORDS - _COMMON
-REFUSAL_STARTS = ("no can do", "not be right", "something i", "let us talk", "let us change", "not answering", "i will decline", "pass on", "not able to", "isn't a", "not a subject", "not a topic", "as the ", "as a", "please ask", "please contact", "against ")
+def required(pattern: str) -> frozenset[str]:
+    """Strings of which every match of the pattern holds at least one, read off the parsed pattern."""
+
+    def of(seq) -> frozenset[str]:
+        options, run = [], ""
+        for op, arg in [*seq, (None, None)]:
+            if op is _parser.LITERAL:
+                run += chr(arg)
+                continue
+            options.append(frozenset([run]))
+            run = ""
+            if op is _parser.SUBPATTERN:
+                options.append(of(arg[3]))
+            elif op is _parser.BRANCH:
+                options.append(frozenset().union(*map(of, arg[1])))
+            elif op is _parser.MAX_REPEAT and arg[0] > 0:
+                options.append(of(arg[2]))
+        # the empty string, which every text holds, stands for no demand
+        return max(options, key=lambda o: (min(len(p.strip()) for p in o), -len(o)))
+
+    return of(_parser.parse(pattern))
+
+
+#: Without one of these there is nothing for REFUSE or DECLINE_WORDS to find.
+REFUSAL_PARTS = tuple(sorted(frozenset().union(*map(required, [*REFUSALS, DECLINE_WORDS.pattern]))))
+# Characters that match a letter without regard to case though it isn't their lower case.
+_CASES = {"ı": "i", "İ": "i", "ſ": "s", "ᲀ": "в", "ᲁ": "д", "ᲂ": "о", "ᲃ": "с", "ᲄ": "т", "ᲅ": "т", "ᲆ": "ъ"}
+_FOLDS = str.maketrans(_CASES)
+
+
+def may_refuse(plain: str) -> bool:
+    low = plain.lower() if plain.isascii() else plain.translate(_FOLDS).lower()
+    return any(p in low for p in REFUSAL_PARTS)
+
+
 #: A refusal told about somebody or something else.
 REPORTED = re.compile(r"\b(?:they|he|she|it|the \w+|sie|ils?|ellos|él|ella) (?:declined|refused|rejected|said no|couldn't)|can't help (?:thinking|laughing|feeling|wondering)|sorry for (?:the|my|being)|can't (?:connect|log|open|see|find|reach)", re.I)
 ASKS_OTHER = re.compile(
@@ -214,12 +238,11 @@ def votes(question: str, answer: str, model: language.Model) -> list[int]:
             grams = lambda s: {s[i : i + 4] for i in range(len(s) - 3)}
             ga, gq = grams(lead), grams(lq)
             out.append(int(len(ga & gq) / max(1, len(ga | gq)) >= 0.75))
-    # refusal: without any word of the phrases there is nothing to look for
+    # refusal: without any part of the phrases there is nothing to look for
     bag = set(words)
     reported = said = declined = False
-    low = a.lower()
-    if not bag.isdisjoint(RARE_REFUSAL_WORDS) or any(p in low for p in REFUSAL_STARTS):
-        plain = a.replace("’", "'")
+    plain = a.replace("’", "'")
+    if may_refuse(plain):
         said = bool(REFUSE.search(plain))
         declined = bool(DECLINE_WORDS.search(plain))
         reported = (said or declined) and bool(REPORTED.search(plain))
