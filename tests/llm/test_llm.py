@@ -199,6 +199,25 @@ def test_defects(spark):
     assert pairs.found(pairs.pairs(df.limit(0), "done"), docs).count() == 0
 
 
+def test_truncation_does_not_depend_on_copies(spark):
+    """All rows six times, and one broken answer in a third of the rows, change no defect; nor do broken answers that grow with the corpus."""
+    goes_on = "We looked at the garden and there is a lamp behind house number {} of the road."
+    broken = {1: "Well then, we looked at the garden and there is a lamp behind house", 2: "Yes, we looked at the garden and there is a lamp behind"}
+    q = "What did you find on day {}?"
+
+    def flagged(scale, times, hot):
+        texts = [(n * 100000 + i, chat(("user", q.format(i)), ("assistant", a))) for i, a in broken.items() for n in range(times * (hot if i == 1 else 1))]
+        texts += [(n * 100000 + 100 + i, chat(("user", q.format(i)), ("assistant", goes_on.format(i)))) for i in range(900 * scale) for n in range(times)]
+        if scale > 1:  # more broken answers with the same tail
+            texts += [(n * 100000 + 50 + i, chat(("user", q.format(f"{i} of it")), ("assistant", "Number %s: " % i + broken[1]))) for i in range(6) for n in range(times)]
+        df = spark.createDataFrame(texts, "row_id long, text string")
+        docs = spark.createDataFrame([(i, " ".join(s), l) for i, (l, s) in enumerate(SAMPLES.items())], "doc_id long, text string, lang string")
+        return {r["row_id"] % 100000 for r in pairs.found(pairs.pairs(df, "done"), docs).where("defect = 'truncated'").collect()}
+
+    assert flagged(1, 1, 1) == flagged(1, 6, 1) == flagged(1, 1, 450) == {1, 2}
+    assert flagged(2, 1, 1) == {1, 2, *range(50, 56)}
+
+
 def readings(pattern):
     """Texts that a pattern matches: every branch once, options left out and taken once."""
     from re import _parser as P

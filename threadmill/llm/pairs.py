@@ -5,7 +5,7 @@ together is counted over all pairs; expectation-maximisation on these counts giv
 combination's probability of the defect. A pair has every defect whose probability exceeds its cutoff.
 
 Whether an answer breaks off is judged by the corpus: how its last words go on elsewhere. These counts are over all
-turns of all rows.
+distinct pairs, so copies of rows change nothing.
 """
 
 from __future__ import annotations
@@ -128,8 +128,8 @@ def statistics(texts: DataFrame) -> DataFrame:
     return counted.groupBy("key").agg(*[F.sum(c).alias(c) for c in ("ends", "goes_on", "open")])
 
 
-#: A broken answer and its exact copies among done and resampled rows.
-OWN_COPIES = 4
+#: Share of the places where words stand that broken answers may leave as open ends; more are ends without a full stop.
+BROKEN_SHARE = 0.01
 
 # ---- labelling functions ------------------------------------------------------------------------------------------------
 
@@ -335,18 +335,19 @@ def scored(own: DataFrame, documents: DataFrame) -> DataFrame:
             rows = []
             for q, a in zip(b["question"], b["answer"]):
                 v = votes(q, a, m)
-                k = tail_keys(tokens(body_of(a or ""))) if v[-1] != 0 else (None, None, None)
-                rows.append((v, *k))
+                tail = tokens(body_of(a or "")) if v[-1] != 0 else []
+                k = tail_keys(tail) if tail else (None, None, None)
+                rows.append((v, *k, int(bool(tail) and _is_word(tail[-1]))))
             # keys as nullable integers from the start: through floats they would lose their last digits
             columns = {k: pd.array([r[i] for r in rows], dtype="Int64") for i, k in enumerate(("k3", "kx", "k2"), 1)}
-            head = {"code": b["code"].to_numpy()}
+            head = {"code": b["code"].to_numpy(), "own": np.array([r[4] for r in rows], dtype="int32")}
             yield pd.DataFrame(head | {"v": pd.Series([r[0] for r in rows], dtype=object)} | columns)
 
     # a pair that occurs in several rows is judged once; the digest stands for it
     coded, _ = scratch.put(own.withColumn("code", F.md5(F.concat_ws("\x00", F.coalesce("question", F.lit("")), F.coalesce("answer", F.lit(""))))))
-    each_once = coded.groupBy("code").agg(F.min("question").alias("question"), F.min("answer").alias("answer"))
-    judged, _ = scratch.put(each_once.mapInPandas(judge, "code string, v array<int>, k3 bigint, kx bigint, k2 bigint"))
-    stats, _ = scratch.put(statistics(coded.select(F.explode(F.array("question", "answer")).alias("text"))))
+    each_once, _ = scratch.put(coded.groupBy("code").agg(F.min("question").alias("question"), F.min("answer").alias("answer")))
+    judged, _ = scratch.put(each_once.mapInPandas(judge, "code string, own int, v array<int>, k3 bigint, kx bigint, k2 bigint"))
+    stats, _ = scratch.put(statistics(each_once.select(F.explode(F.array("question", "answer")).alias("text"))))
     # the tails in question are few; the counts are thinned to them before the join
     tails = judged.where("k3 IS NOT NULL")
     wanted = tails.select(F.explode(F.array("k3", "kx", "k2")).alias("key")).distinct()
@@ -355,12 +356,13 @@ def scored(own: DataFrame, documents: DataFrame) -> DataFrame:
     told = tails.join(pick("k3"), "k3", "left").join(pick("kx"), "kx", "left").join(pick("k2"), "k2", "left")
 
     def vote(s: str) -> Column:
-        """A tail after which sentences hardly ever end, or often do. Open ends count as ends once they are more than one
-        broken answer and its copies would leave."""
+        """A tail after which sentences hardly ever end, or often do. Open ends of other pairs count as ends as far as they
+        are more than broken answers would leave."""
         n = lambda c: F.coalesce(F.col(f"{s}.{c}"), F.lit(0))
-        whole = n("ends") + F.greatest(n("open") - OWN_COPIES, F.lit(0))
+        open_ = n("open") - F.col("own")
+        whole = n("ends") + F.greatest(open_ - BROKEN_SHARE * (n("ends") + n("goes_on") + open_), F.lit(0.0))
         rate = F.try_divide(whole, whole + n("goes_on"))
-        return F.when((n("goes_on") >= 3) & (rate < 0.004), 1).when((whole >= 1) & (rate >= 0.02), 0).otherwise(-1)
+        return F.when((n("goes_on") >= 2) & (rate < 0.004), 1).when((whole >= 1) & (rate >= 0.02), 0).otherwise(-1)
 
     told = told.select("code", F.concat("v", F.array(vote("s_k3"), vote("s_kx"), vote("s_k2"))).alias("v"))
     rest = judged.where("k3 IS NULL").select("code", F.concat("v", F.array(F.lit(0), F.lit(0), F.lit(0))).alias("v"))
