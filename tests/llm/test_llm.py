@@ -58,6 +58,35 @@ def test_pii_spans_and_redaction(spark):
     assert pii.mentions(df.limit(0), "text", "rec_id").count() == 0
 
 
+def spellings(form):
+    """Addresses of a form in all the ways its pattern allows: type words, stops, gaps."""
+    if form == "english":
+        return [f"12{c} Hollow {w}{end}" for w in pii.STREETS.split("|") for c in ("", ",") for end in ("", ".", ",", " 5")]
+    if form == "front":
+        return [f"12{c}{w}{end} Moulin" for w in pii.STREETS_FRONT.split("|") for c in ("", " ", ", ", " bis ", "a ", "a", " b", " b ") for end in ("", ".")]
+    if form == "back":
+        return [f"{w}{end} Nueva{c}33" for w in pii.STREETS_FRONT.split("|") for c in (" ", ", ", " nº ") for end in ("", ".")]
+    if form == "german":
+        return [f"{b}{w}{end} 12" for w in pii.STREETS_TAIL.split("|") for b in ("Haupt", "Haupt-", "Lange ") for end in ("", ".")]
+    boxes = [f"p{a}o{b}box" for a in ("", ".", " ", ". ") for b in ("", ".", " ", ". ")] + ["post office box", "postoffice box", "postfach", "postbus", "apartado", "apartado de correos", "apartado postal", "apdo", "apdo.", "boîte postale", "boite postale", "casella postale", "caixa postal", "postboks", "box postal"]
+    return [f"{w}{c}123" for w in boxes for c in ("", " ", ": ", "#", "nr. ", " n ", "n")]
+
+
+@pytest.mark.parametrize("form", [f for f, _ in pii.ADDRESS])
+def test_pii_address_gates_hold_their_patterns(form):
+    patterns = [p for f, p in pii.ADDRESS if f == form]
+    texts = [t for s in spellings(form) for t in (s, s.upper(), s.title(), s.replace("i", "İ"), s.replace("s", "ſ")) if any(p.search(t) for p in patterns)]
+    assert len(texts) > len(spellings(form))
+    for t in texts:
+        low = t.lower()
+        assert form in pii._forms(t, low, set(pii._WORD.findall(low))), t
+
+
+@pytest.mark.parametrize("text,want", [("Hauptstr. 12, 50667 Köln", "[ADDRESS]"), ("I live at Lindenstr. 7", "I live at [ADDRESS]"), ("write to POBox 123", "write to [ADDRESS]")])
+def test_pii_abbreviated_addresses(text, want):
+    assert pii.redact_one(text) == want
+
+
 def test_pii_validators():
     assert pii.luhn("4111111111111111") and not pii.luhn("4111111111111112")
     assert pii.mod23("12345678", "Z") and not pii.mod23("12345678", "A")

@@ -360,13 +360,30 @@ _DOT_WORDS = frozenset("dot punkt punto point ponto punt".split())
 # Words and phrases of which at least one is in every text that the patterns of a kind could match.
 _NAME_WORDS = _GIVEN_SET | set(TITLES.split("|")) | set("appelle llamo heiße heißt nombre chiamo nome зовут nazywam heter heet hablé parcel signed regards".split())
 _NAME_PHRASES = ("name is", "name ist", "ask for", "still your", " here", "class with", "told me the same")
-_TAILS = tuple(f"{w} " for w in STREETS_TAIL.split("|"))
+_TAILS = tuple(f"{w}{end}" for w in STREETS_TAIL.split("|") for end in (" ", ". "))
 _FRONT_WORDS = frozenset(STREETS_FRONT.split("|"))
-_BOX_WORDS = frozenset("box postfach postbus apartado apdo postale postal postboks office".split())
+_BOX_PARTS = ("box", "postfach", "postbus", "apartado", "apdo", "postal", "postboks")
+# Characters that patterns take for i or s, unlike lower().
+_ODD_CASE = re.compile("[İıſ]")
 _ENGLISH_WORDS = frozenset(STREETS.split("|"))
 _DIGIT_WORD_SET = frozenset(DIGIT_WORDS)
 
 
+def _forms(t: str, low: str, words: set[str]) -> list[str]:
+    """Forms of address that a text could hold, given its lower case and words."""
+    if not t.isascii() and _ODD_CASE.search(t):
+        return [f for f, _ in ADDRESS]
+    there = {
+        "english": not words.isdisjoint(_ENGLISH_WORDS),
+        # a letter of the house number may stand right before the street
+        "front": not words.isdisjoint(_FRONT_WORDS) or any(w[1:] in _FRONT_WORDS for w in words),
+        "back": not words.isdisjoint(_FRONT_WORDS),
+        "german": any(w in low for w in _TAILS),
+        "box": any(w in low for w in _BOX_PARTS),
+    }
+    return [f for f, yes in there.items() if yes]
+
+
 def find(text: str) -> list[tuple[int, int, str]]:
     """(start, end, kind) of every mention, in order, none overlapping.
 
@@ -385,14 +402,7 @@ def find(text: str) -> list[tuple[int, int, str]]:
         if _LONG_NUMBER.search(t):
             spans += [(s, a, b, k) for a, b, k, s in (*_phones(t), *_ids(t))]
             said = False
-        there = {
-            "english": not words.isdisjoint(_ENGLISH_WORDS),
-            "front": not words.isdisjoint(_FRONT_WORDS),
-            "back": not words.isdisjoint(_FRONT_WORDS),
-            "german": any(w in low for w in _TAILS),
-            "box": not words.isdisjoint(_BOX_WORDS),
-        }
-        forms = [f for f, yes in there.items() if yes]
+        forms = _forms(t, low, words)
         if forms:
             spans += [(s, a, b, k) for a, b, k, s in _addresses(t, forms)]
     if said:
