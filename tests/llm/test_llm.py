@@ -196,6 +196,11 @@ def test_languages(model):
     assert language.identify(model, en + " It was a bit déjà vu for me.").mixed == []
 
 
+@pytest.mark.parametrize("text", ["mooshing kitching throught", "жолтаковский снобальство", "cenru trct trhl"])
+def test_unknown_words_have_no_language(model, text):
+    assert language.identify(model, text).lang is None and language.issues(model, text, None) == []
+
+
 def test_languages_on_tables(spark):
     docs = [(i, s, l) for i, (l, s) in enumerate((l, " ".join(s)) for l, s in SAMPLES.items())]
     df = spark.createDataFrame(docs + [(10, SAMPLES["en"][0], "de"), (11, None, "en")], "doc_id long, text string, lang string")
