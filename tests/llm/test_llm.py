@@ -3,6 +3,7 @@
 import datetime as dt
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -328,13 +329,46 @@ LABELS = [
 
 
 def test_abuse(spark):
-    labels = spark.createDataFrame([(i, c, l) for i, (c, l) in enumerate(LABELS * 3)], "sample_id int, content string, label string")
+    labels = spark.createDataFrame([(i, c, l) for i, (c, l) in enumerate(LABELS * 3)] + [(99, None, None)], "sample_id int, content string, label string")
     calm = ["thanks for the help with the lamp and the table", "we should meet in the kitchen tonight", "the naked mole rat is a strange animal"] * 60
     hard = ["you w0rthle55 i.d.i.o.t, get lost", "you w*rthless IDIOOOOT", "send me ｎｕｄｅｓ, show your tіts", "Zorvian vermin, lazy parasites all of them"]
-    df = spark.createDataFrame([(str(i), t) for i, t in enumerate(hard + calm)] + [("x", None), ("y", "")], "rec_id string, text string")
+    df = spark.createDataFrame([(str(i), t) for i, t in enumerate(hard + calm)] + [("x", None), ("y", ""), ("0", hard[0])], "rec_id string, text string")
     got = rows(abuse.found(df, labels), "rec_id", "category")
-    assert got == [("0", "abuse"), ("1", "abuse"), ("2", "sexual"), ("3", "hate")]
+    assert got == [("0", "abuse"), ("0", "abuse"), ("1", "abuse"), ("2", "sexual"), ("3", "hate")]
     assert {(r["rec_id"], r["category"]) for r in abuse.passages(df, labels).collect()} == set(got)
-    rates = {r["source"]: r for r in abuse.rates(df.withColumn("source", F.when(F.col("rec_id") < "2", "a")), labels).collect()}
+    flags = abuse.scores(df, labels)
+    assert flags.count() == df.count()
+    rates = {r["source"]: r for r in abuse.rates(flags.withColumn("source", F.when(F.col("rec_id") < "2", "a"))).collect()}
     assert rates["a"]["abuse"] > 0 and None in rates
     assert abuse.found(df.limit(0), labels).count() == 0
+    assert abuse.found(df, labels.limit(0)).count() >= 0  # the lexicon alone
+
+
+@pytest.mark.parametrize(
+    "text,want",
+    [
+        ("you 1d107!", {("idiot", "leet"), ("ldlot", "leet")}),
+        ("such a b_i_t_c_h move", {("bitch", "spelled")}),
+        ("ｆｕｃｋ this", {("fuck", "wide")}),
+        ("scum\u200bbag", {("scumbag", "hidden")}),
+        ("a mоrоn", {("moron", "mixed")}),
+        ("plain words, 12 of them, naïve приве́т <@123a>", set()),
+        ("", set()),
+    ],
+)
+def test_evasions(text, want):
+    assert {(f, k) for f, k, _ in abuse.evasions(text)} == want
+
+
+def test_evaded_words_are_learned():
+    """A word that no list and no labelled row has, seen in disguises, and its company."""
+    rows_ = [(c, l) for c, l in LABELS]
+    own = ["you grobnik go away", "shut up grobnik go away", "what a grobnik you are"]
+    model = abuse.fit(rows_, own, {"grobnik": 0.3})
+    model.calibrate(np.zeros(3))
+    z = model.normal(*model.best(["you gr0bn1k go away", "thanks for the help with the lamp"]))
+    assert z[0].max() > 0 and z[1].max() < z[0].max()
+    assert CATS[int(z[0].argmax())] == "abuse"
+
+
+CATS = abuse.CATEGORIES

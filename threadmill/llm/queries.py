@@ -37,6 +37,13 @@ def documents(spark: SparkSession, d: str) -> DataFrame:
     return spread(table(spark, d, "documents"))
 
 
+def p4_rates(spark: SparkSession, d: str) -> DataFrame:
+    """Rates per source of dump, by the flags that p4_found gives: one model for all records."""
+    flags = abuse.scores(records(spark, d), table(spark, d, "abuse_labels")).where("src = 'dump'")
+    own = table(spark, d, "dump").select(F.col("row_id").cast("string").alias("rec_id"), "source")
+    return abuse.rates(own.join(flags, "rec_id"))
+
+
 def queries() -> dict[str, Query]:
     return {
         "p1_found": lambda s, d: pii.mentions(records(s, d), "text", "src", "rec_id"),
@@ -50,7 +57,8 @@ def queries() -> dict[str, Query]:
         "p8_ids": lambda s, d: documents(s, d).select("doc_id", bpe.encode("text").alias("ids")),
         "p4_found": lambda s, d: abuse.found(records(s, d), table(s, d, "abuse_labels")),
         "p4_passages": lambda s, d: abuse.passages(records(s, d), table(s, d, "abuse_labels")),
-        "p4_rates": lambda s, d: abuse.rates(table(s, d, "dump"), table(s, d, "abuse_labels")),
+        "p4_scores": lambda s, d: abuse.scores(records(s, d), table(s, d, "abuse_labels")),
+        "p4_rates": p4_rates,
         "p9_mix": lambda s, d: mix.mix(documents(s, d), table(s, d, "mix_targets")),
         "p9_shares": lambda s, d: mix.shares(documents(s, d), table(s, d, "mix_targets")),
         "p10_found": lambda s, d: language.found(documents(s, d)),
