@@ -29,8 +29,6 @@ from ..functions import rx
 LANGS = ("de", "en", "es", "fr", "it", "nl", "pl", "pt", "ru", "sv")
 #: Bound of the sample: labelled documents per language.
 SAMPLE = 400
-#: Characters of a sampled document that the fit reads: a bound of the sample, not of what is labelled.
-SAMPLE_CHARS = 4000
 # The commonest function words of each language.
 FUNCTION_WORDS = {
     "de": "der die und ist nicht ich mit wir auf ein eine das den von zu sich auch es",
@@ -97,7 +95,9 @@ class Model:
 
     def __post_init__(self) -> None:
         self.cache: dict[str, np.ndarray] = {}
-        self.clear: dict[str, int] = {}
+        # per word seen: its row in the tables of scores, of its own languages, and of whether it is known
+        self.at: dict[str, int] = {}
+        self.table = np.zeros((1024, 2 * len(LANGS) + 2), dtype=np.float32)
         self.unseen = np.full(len(LANGS), math.log(1e-4))
 
     def __getstate__(self) -> dict:
@@ -122,26 +122,35 @@ class Model:
                 self.cache[w] = v
         return v
 
-    def leaning(self, words: list[str]) -> int | None:
-        """Language that most words clearly belong to, None if that is open: a quick look before ``score``."""
-        votes: dict[int, int] = {}
-        for w in words:
-            l = self.clear.get(w)
-            if l is None:
-                v = self.word(w)
-                order = np.sort(v)
-                l = int(v.argmax()) if order[-1] - order[-2] > 1.0 else -1
-                if len(self.clear) < 1 << 18:
-                    self.clear[w] = l
-            votes[l] = votes.get(l, 0) + 1
-        votes.pop(-1, None)
-        if not votes:
-            return None
-        best = max(votes, key=lambda l: (votes[l], -l))
-        return best if votes[best] >= 2 and votes[best] * 2 > sum(votes.values()) else None
-
-    def known(self, w: str) -> bool:
-        return w in self.words
+    def row(self, w: str) -> int:
+        """Row of a word in ``table``: scores by language; whether it is a solid word of each language; solid; known."""
+        i = self.at.get(w)
+        if i is None:
+            i = len(self.at)
+            if i == len(self.table):
+                self.table = np.concatenate([self.table, np.zeros_like(self.table)])
+            n, counts = len(LANGS), self.words.get(w)
+            solid = len(w) > 1 and "'" not in w
+            line = self.table[i]
+            line[:n] = self.word(w)
+            if counts is not None:
+                line[n : 2 * n] = (counts > 0) & solid
+            line[2 * n :] = solid, counts is not None
+            self.at[w] = i
+        return i
+
+    def sums(self, sents: list[tuple[str, ...]]) -> np.ndarray:
+        """Sums of the table rows over the words of each sentence; no sentence may be empty."""
+        if len(self.at) > 1 << 19:  # start again rather than grow without end
+            self.at, self.table = {}, np.zeros((1024, self.table.shape[1]), dtype=np.float32)
+        ids, starts = [], []
+        at, row = self.at, self.row
+        for s in sents:
+            starts.append(len(ids))
+            for w in s:
+                i = at.get(w)
+                ids.append(row(w) if i is None else i)
+        return np.add.reduceat(self.table[ids].astype(np.float64), starts) if sents else np.zeros((0, self.table.shape[1]))
 
     def score(self, words: list[str]) -> np.ndarray:
         out = np.zeros(len(LANGS))
@@ -152,7 +161,7 @@ class Model:
 
 def fit(labelled: list[tuple[str, str]], rounds: int = 4) -> Model:
     """``(text, language)`` pairs, some wrong. Sentences are reassigned to their likeliest language and counted again."""
-    data = [(sentences(t[:SAMPLE_CHARS]), LANGS.index(l)) for t, l in labelled]
+    data = [(sentences(t), LANGS.index(l)) for t, l in labelled]
     owner = [[l] * len(s) for s, l in data]
     model = Model()
     for r in range(rounds):
@@ -186,9 +195,9 @@ def fit(labelled: list[tuple[str, str]], rounds: int = 4) -> Model:
             # sentences go with their document's language, after the first round unless another is clearly likelier:
             # before, wrong labels would vouch for themselves
             for (sents, _), own in zip(data, owner):
-                scores = [model.score(words) for words in sents]
-                if not scores:
+                if not sents:
                     continue
+                scores = model.sums(sents)[:, : len(LANGS)]
                 main = int(np.sum(scores, axis=0).argmax())
                 for i, v in enumerate(scores):
                     best = int(v.argmax())
@@ -221,49 +230,68 @@ def mixture(scores: np.ndarray, sizes: np.ndarray, active: list[int], rounds: in
 
 
 def identify(model: Model, text: str | None) -> Found:
-    """NULL, empty and wordless texts have no language."""
-    sents = sentences(text) if text else []
-    if not sents:
-        return Found(None, 0.0, [], [])
-    distinct: dict[tuple[str, ...], int] = Counter(tuple(s) for s in sents)
-    keys = list(distinct)
-    scores = np.array([model.score(list(k)) for k in keys])
-    weight = np.array([distinct[k] for k in keys], dtype=float)
-    sizes = np.array([len(k) for k in keys], dtype=float) * weight
-    known = sum(model.known(w) for k in keys for w in k)
-    if known == 0 and sizes.sum() < 4:
-        return Found(None, 0.0, [], [])
-    active = sorted(set(scores.argmax(axis=1).tolist()) | {int((scores * weight[:, None]).sum(axis=0).argmax())})
-    pi, r, like = mixture(scores, sizes, active) if len(active) > 1 else (np.ones(1), np.ones((len(keys), 1)), 0.0)
-    while len(active) > 1:
-        weakest = int(pi.argmin())
-        fewer = [a for i, a in enumerate(active) if i != weakest]
-        pi2, r2, like2 = mixture(scores, sizes, fewer)
-        if like - like2 > PENALTY:
-            break
-        active, pi, r, like = fewer, pi2, r2, like2
-    main = active[int(pi.argmax())]
-    best = r.argmax(axis=1)
-    # a language counts for the mixture if a whole sentence of known words is its own
-    own: set[int] = set()
-    for i, k in enumerate(keys):
-        l = active[int(best[i])]
-        solid = [w for w in k if len(w) > 1 and "'" not in w]
-        mine = sum(1 for w in solid if model.known(w) and model.words[w][l] > 0)
-        rest = np.delete(scores[i], l).max()
-        if len(solid) >= MIN_WORDS and mine >= max(2, 0.5 * len(solid)) and scores[i][l] - rest > 2.0 and r[i][best[i]] >= SURE:
-            own.add(l)
-    total = (scores * weight[:, None]).sum(axis=0)
-    soft = np.exp((total - total.max()) / max(1.0, math.sqrt(len(keys))))
-    at = {k: i for i, k in enumerate(keys)}
-    segments = [(n, LANGS[active[int(best[at[tuple(s)]])]], float(r[at[tuple(s)]].max())) for n, s in enumerate(sents)]
-    share = float(pi.max()) if len(own) > 1 else float(soft[main] / soft.sum())
-    return Found(LANGS[main], share, [LANGS[l] for l in sorted(own)] if len(own) > 1 else [], segments)
-
-
-def issues(model: Model, text: str | None, label: str | None) -> list[tuple[str, str]]:
+    return identify_all(model, [text])[0]
+
+
+NOTHING = Found(None, 0.0, [], [])
+
+
+def identify_all(model: Model, texts: list[str | None], segments: bool = True) -> list[Found]:
+    """NULL, empty and wordless texts have no language, and neither have up to three words of which none is known.
+
+    The words of a whole batch are scored at once; the mixture of a text whose sentences all point to one language has
+    that language alone from the start, the others go through expectation-maximisation."""
+    n = len(LANGS)
+    parts = [[tuple(s) for s in sentences(t)] if t else [] for t in texts]
+    counts = [Counter(p) for p in parts]
+    keys = [k for c in counts for k in c]
+    sums = model.sums(keys)
+    likely = sums[:, :n].argmax(axis=1)
+    weight = np.array([w for c in counts for w in c.values()], dtype=float)
+    size = np.array([len(k) for k in keys], dtype=float) * weight
+    out, at = [], 0
+    for sents, distinct in zip(parts, counts):
+        a, at = at, at + len(distinct)
+        here = slice(a, at)
+        if not sents or sums[here, -1].sum() == 0 and size[here].sum() < 4:
+            out.append(NOTHING)
+            continue
+        own, scores = sums[here], sums[here, :n]
+        total = weight[here] @ scores
+        active = sorted({*likely[here].tolist(), int(total.argmax())})
+        pi, r = np.ones(1), np.ones((len(distinct), 1))
+        if len(active) > 1:
+            pi, r, like = mixture(scores, size[here], active)
+        while len(active) > 1:
+            weakest = int(pi.argmin())
+            fewer = [x for i, x in enumerate(active) if i != weakest]
+            pi2, r2, like2 = mixture(scores, size[here], fewer)
+            if like - like2 > PENALTY:
+                break
+            active, pi, r, like = fewer, pi2, r2, like2
+        main = active[int(pi.argmax())]
+        best = np.array(active)[r.argmax(axis=1)]
+        mixed: list[int] = []
+        if len(active) > 1:
+            # a language counts for the mixture if a whole sentence of known words is its own
+            i = np.arange(len(distinct))
+            rest = scores.copy()
+            rest[i, best] = -np.inf
+            solid, mine = own[:, 2 * n], own[i, n + best]
+            whole = (solid >= MIN_WORDS) & (mine >= np.maximum(2, 0.5 * solid)) & (scores[i, best] - rest.max(axis=1) > 2.0) & (r.max(axis=1) >= SURE)
+            mixed = sorted(set(best[whole].tolist()))
+        soft = np.exp((total - total.max()) / max(1.0, math.sqrt(len(distinct))))
+        share = float(pi.max()) if len(mixed) > 1 else float(soft[main] / soft.sum())
+        told = []
+        if segments:
+            nth = {k: i for i, k in enumerate(distinct)}
+            told = [(j, LANGS[best[nth[s]]], float(r[nth[s]].max())) for j, s in enumerate(sents)]
+        out.append(Found(LANGS[main], share, [LANGS[l] for l in mixed] if len(mixed) > 1 else [], told))
+    return out
+
+
+def issues(f: Found, label: str | None) -> list[tuple[str, str]]:
     """(issue, language) rows of one document."""
-    f = identify(model, text)
     if f.lang is None:
         return []
     if f.mixed:
@@ -284,21 +312,21 @@ def label_column(label: Column) -> Column:
 def train(documents: DataFrame, sample: int = SAMPLE) -> Model:
     """Fits on ``sample`` labelled documents per language at most: the only rows that reach the driver. Ids are taken in
     the order of their hash, so the sample is the same in every run; the rank filter thins out in the map tasks."""
-    own = documents.where(F.length("text") > 20).withColumn("code", label_column(F.col("lang"))).where("code IS NOT NULL")
-    own = own.select("code", F.substring("text", 1, SAMPLE_CHARS).alias("text"), F.xxhash64("doc_id").alias("h"), "doc_id")
+    own = documents.where("text <> ''").withColumn("code", label_column(F.col("lang"))).where("code IS NOT NULL")
+    own = own.select("code", "text", F.xxhash64("doc_id").alias("h"), "doc_id")
     rank = F.row_number().over(Window.partitionBy("code").orderBy("h", "doc_id", "text"))
     rows = own.withColumn("rank", rank).where(F.col("rank") <= sample).select("text", "code").collect()
     return fit(sorted((r["text"], r["code"]) for r in rows))
 
 
-def _run(documents: DataFrame, f, schema: T.StructType | str) -> DataFrame:
+def _run(documents: DataFrame, f, schema: str, segments: bool = False) -> DataFrame:
     model = train(documents)
     shared = documents.sparkSession.sparkContext.broadcast(model)  # bounded by the sample
 
     def each(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        m = shared.value
         for b in batches:
-            rows = [row for doc_id, text, lang in zip(b["doc_id"], b["text"], b["lang"]) for row in f(m, doc_id, text, lang)]
+            found = identify_all(shared.value, b["text"].tolist(), segments)
+            rows = [row for doc_id, lang, one in zip(b["doc_id"], b["lang"], found) for row in f(doc_id, lang, one)]
             yield pd.DataFrame(rows, columns=names)
 
     names = [c.split()[0] for c in schema.split(", ")]
@@ -307,23 +335,15 @@ def _run(documents: DataFrame, f, schema: T.StructType | str) -> DataFrame:
 
 def found(documents: DataFrame) -> DataFrame:
     """``doc_id, issue, lang``: mixed, missing and wrong labels. Repeated ids are judged row by row."""
-    return _run(documents, lambda m, i, t, l: [(i, a, b) for a, b in issues(m, t, l)], "doc_id bigint, issue string, lang string")
+    return _run(documents, lambda i, l, f: [(i, a, b) for a, b in issues(f, l)], "doc_id bigint, issue string, lang string")
 
 
 def languages(documents: DataFrame) -> DataFrame:
     """``doc_id, lang, confidence, given``: a row per document; NULL and 0 where there are no words of any language."""
-
-    def row(m: Model, i: int, t: str | None, l: str | None) -> list[tuple]:
-        f = identify(m, t)
-        return [(i, f.lang, f.confidence, label_code(l))]
-
-    return _run(documents, row, "doc_id bigint, lang string, confidence double, given string")
+    return _run(documents, lambda i, l, f: [(i, f.lang, f.confidence, label_code(l))], "doc_id bigint, lang string, confidence double, given string")
 
 
 def segments(documents: DataFrame) -> DataFrame:
     """``doc_id, sentence_no, lang, confidence``: a row per sentence."""
-    return _run(
-        documents,
-        lambda m, i, t, l: [(i, n, a, c) for n, a, c in identify(m, t).segments],
-        "doc_id bigint, sentence_no int, lang string, confidence double",
-    )
+    schema = "doc_id bigint, sentence_no int, lang string, confidence double"
+    return _run(documents, lambda i, l, f: [(i, n, a, c) for n, a, c in f.segments], schema, segments=True)
