@@ -189,17 +189,21 @@ def test_labels():
     assert [language.label_code(x) for x in ("en_US", " EN ", "deu", "German", "pt-BR", "??", "und", "", None, "ja")] == ["en", "en", "de", "de", "pt", None, None, None, None, "ja"]
 
 
+def issues(model, text, label):
+    return language.issues(language.identify(model, text), label)
+
+
 def test_languages(model):
     en, de = " ".join(SAMPLES["en"]), " ".join(SAMPLES["de"])
-    assert language.issues(model, en, "english") == [] and language.issues(model, en, "nl") == [("wrong", "en")] and language.issues(model, de, None) == [("missing", "de")]
-    assert language.issues(model, en + "\n" + de, "en") == [("mixed", "de"), ("mixed", "en")]
-    assert language.issues(model, "1 - 0 \U0001f44d https://x.example", None) == [] and language.issues(model, None, "en") == [] and language.issues(model, "", "en") == []
+    assert issues(model, en, "english") == [] and issues(model, en, "nl") == [("wrong", "en")] and issues(model, de, None) == [("missing", "de")]
+    assert issues(model, en + "\n" + de, "en") == [("mixed", "de"), ("mixed", "en")]
+    assert issues(model, "1 - 0 \U0001f44d https://x.example", None) == [] and issues(model, None, "en") == [] and issues(model, "", "en") == []
     assert language.identify(model, en + " It was a bit déjà vu for me.").mixed == []
 
 
 @pytest.mark.parametrize("text", ["mooshing kitching throught", "жолтаковский снобальство", "cenru trct trhl"])
 def test_unknown_words_have_no_language(model, text):
-    assert language.identify(model, text).lang is None and language.issues(model, text, None) == []
+    assert language.identify(model, text).lang is None and issues(model, text, None) == []
 
 
 def test_languages_on_tables(spark):

@@ -27,9 +27,9 @@ from . import language
 
 #: Order in which one defect is taken where a pair has several.
 DEFECTS = ("empty", "copy", "refusal", "language", "truncated")
-FUNCTIONS = {"empty": 3, "copy": 3, "refusal": 4, "language": 3, "truncated": 4}
-#: Probability from which a defect counts, checked against hand-made pairs in the tests.
-CUTOFF = {"empty": 0.5, "copy": 0.5, "refusal": 0.5, "language": 0.5, "truncated": 0.5}
+FUNCTIONS = {"empty": 3, "copy": 3, "refusal": 4, "language": 3, "truncated": 5}
+#: Quotes and apostrophes in their plain forms, before anything is looked for.
+PLAIN = str.maketrans("’‘ʼ“”„", "'''\"\"\"")
 
 # ---- pairs --------------------------------------------------------------------------------------------------------------
 
@@ -115,21 +115,8 @@ def continuations(texts: Iterator[str]) -> Counter:
     return out
 
 
-def statistics(texts: DataFrame) -> DataFrame:
-    """``key, ends, goes_on, open`` over all rows of ``text``; each Arrow batch is counted before anything is shuffled."""
-
-    def each(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
-            c = continuations(t for t in b["text"] if t)
-            rows = [(k, *(v if kind == x else 0 for x in range(3))) for (k, kind), v in c.items()]
-            yield pd.DataFrame(rows, columns=["key", "ends", "goes_on", "open"])
-
-    counted = texts.mapInPandas(each, "key bigint, ends bigint, goes_on bigint, open bigint")
-    return counted.groupBy("key").agg(*[F.sum(c).alias(c) for c in ("ends", "goes_on", "open")])
-
-
 #: Share of the places where words stand that broken answers may leave as open ends; more are ends without a full stop.
-BROKEN_SHARE = 0.01
+BROKEN_SHARE = 0.05
 
 # ---- labelling functions ------------------------------------------------------------------------------------------------
 
@@ -138,7 +125,7 @@ REFUSALS = [
     r"i(?:'m| am)? (?:sorry|afraid),? (?:but )?i (?:can't|cannot|can not|won't|am not able|'m not able|am unable)", r"i (?:can't|cannot|can not|won't|will not|couldn't) (?:help|assist|answer|fulfil?l|comply|provide|comment|discuss|respond|do that|give|share|support|continue|talk)(?! (?:thinking|laughing|but|feeling|wondering|it\b))",
     r"(?:not|won't be|isn't|am not|'m not) (?:able|allowed|permitted|supposed) to (?:answer|help|assist|discuss|comment|respond|talk|provide|share|say|do|give)", r"unable to (?:provide|answer|help|assist|respond|comment|discuss|fulfil?l)", r"(?:must|have to|need to|will|i'll|i) (?:decline|pass on|refuse)\b(?! it through)",
     r"rather not (?:answer|say|comment|discuss|talk|respond)", r"not answering (?:this|that)", r"no can do", r"against (?:the|our|my) (?:guidelines|rules|policy|policies|terms)", r"not be right for me to", r"something i'?m? ?(?:am )?not allowed", r"isn't a (?:subject|topic|question) i can", r"not (?:a )?(?:subject|topic) (?:that )?i (?:can|want)",
-    r"as an? (?:ai|assistant|language model|helper|bot|moderator)\b.{0,60}(?:can't|cannot|must|unable|not)", r"as the (?:helper|assistant|bot)\b.{0,60}(?:can't|cannot|must|unable|not)", r"let(?:'s| us) (?:talk about|change) (?:something|the)", r"may not be appropriate", r"please (?:ask|contact) (?:a|somebody|someone|the)",
+    r"as an? (?:ai|assistant|language model|helper|bot|moderator)\b.{0,60}(?:can't|cannot|must|unable|not)", r"as the (?:helper|assistant|bot)\b.{0,60}(?:can't|cannot|must|unable|not)", r"let(?:'s| us) (?:talk about|change) (?:something|the)", r"may not be appropriate", r"(?:not|isn't|won't be) (?:be )?possible for (?:me|us)", r"(?:outside|beyond) (?:of )?(?:what|the things) (?:i|we)(?:'m| am| are)? (?:can|able|allowed)", r"please (?:ask|contact) (?:a|somebody|someone|the)",
     r"(?:kann|darf|werde|möchte|will) (?:ich|dir|ihnen|euch|dabei|dazu|hier|das|diese frage|darauf|leider)[^.!?]{0,50}(?:nicht|nichts|keine)[^.!?]{0,30}(?:helfen|beantworten|antworten|sagen|äußern|geben|eingehen|auskunft)?", r"(?:darf|kann|möchte) (?:ich )?leider (?:nicht|nichts|keine)", r"tut mir leid,? (?:aber )?(?:das|ich|dabei|damit|hierbei)", r"möchte ich mich nicht", r"darüber (?:kann|darf|möchte|will) ich nicht", r"frage darf ich",
     r"je ne (?:peux|suis|veux|souhaite|préfère) (?:pas|en mesure|autorisé)", r"je préfère ne pas", r"désolée?,? (?:mais )?je", r"je ne (?:pourrai|saurais|réponds) pas", r"impossible de répondre", r"je dois (?:refuser|décliner)",
     r"no (?:puedo|podría|debo|me está permitido|me es posible|estoy autorizad[oa]|quiero|voy a) (?:ayudar|responder|contestar|hablar|dar|decir|comentar)", r"no me está permitido", r"lo siento,? (?:pero )?no", r"prefiero no (?:responder|contestar|hablar|decir|comentar)", r"(?:debo|tengo que) (?:rechazar|negarme)",
@@ -151,10 +138,10 @@ REFUSALS = [
 ]
 REFUSE = re.compile("|".join(REFUSALS), re.I)
 DECLINE_WORDS = re.compile(
-    r"\b(?:sorry|afraid|unable|decline|refuse|cannot|can't|won't|not able|not allowed|not permitted|unfortunately|guidelines|appropriate|leider|désolée?|siento|lamento|desculpe|dispiace|helaas|tyvärr|niestety|przykro|извините|сожалению)\b", re.I
+    r"\b(?:sorry|apologies|afraid|unable|decline|refuse|cannot|can't|won't|not able|not allowed|not permitted|unfortunately|guidelines|appropriate|leider|désolée?|siento|lamento|desculpe|dispiace|helaas|tyvärr|niestety|przykro|извините|сожалению)\b", re.I
 )
 HELP_WORDS = re.compile(
-    r"\b(?:help|assist|answer|answering|comment|discuss|respond|request|question|topic|subject|provide|helfen|beantworten|antworten|äußern|aider|répondre|ayudar\w*|responder|contestar|ajudar|aiutar\w*|rispondere|helpen|antwoord\w*|beantwoorden|hjälpa|svara|pomóc|odpowiedzieć|помочь|ответить|отвечать)\b", re.I
+    r"\b(?:help|assist|answer|answering|comment|discuss|respond|request|question|topic|subject|provide|providing|information|helfen|beantworten|antworten|äußern|aider|répondre|ayudar\w*|responder|contestar|ajudar|aiutar\w*|rispondere|helpen|antwoord\w*|beantwoorden|hjälpa|svara|pomóc|odpowiedzieć|помочь|ответить|отвечать)\b", re.I
 )
 def required(pattern: str) -> frozenset[str]:
     """Strings of which every match of the pattern holds at least one, read off the parsed pattern."""
@@ -213,74 +200,96 @@ def letters(text: str) -> str:
     return _NOT_LETTER.sub("", text.casefold())
 
 
-def votes(question: str, answer: str, model: language.Model) -> list[int]:
-    """Votes of all functions but those that need the corpus: 1 for, 0 against, -1 none; in the order of ``DEFECTS``."""
-    a, q = answer or "", question or ""
-    la, lq = letters(a), letters(q)
-    words, qwords = language.WORD.findall(a.lower()), language.WORD.findall(q.lower())
-    out = [int(not la), int(not re.search(r"\w", a.replace("_", ""))), 1 if len(a.strip()) == 0 else (-1 if not la else 0)]
-    if not la:
-        return out + [0] * (FUNCTIONS["copy"] + FUNCTIONS["refusal"] + FUNCTIONS["language"]) + [0]
-    # copy: what is left of the answer without the question
+def copy_votes(q: str, a: str, qwords: list[str], words: list[str]) -> list[int]:
+    """What is left of the answer without the question; words in common; runs of letters in common."""
+    lq, la = letters(q), letters(a)
     if len(lq) < 4:
-        out += [-1, -1, -1]
-    else:
-        rest = la.replace(lq, "")
-        lead = letters(LEAD_IN.sub("", a, count=1)) if LEAD_IN.match(a) else la
-        out.append(int(len(rest) < len(la) and len(rest) <= max(14, 0)) if lq in la else 0)
-        qt, at = Counter(qwords), Counter(words)
-        inter = sum(min(qt[w], at[w]) for w in qt)
-        new = sum(1 for w in at if w not in qt)
-        out.append(int(inter >= 0.85 * sum(qt.values()) and new <= 3) if qt else -1)
-        if not 0.6 < len(lead) / len(lq) < 1.7:
-            out.append(0)
-        else:
-            grams = lambda s: {s[i : i + 4] for i in range(len(s) - 3)}
-            ga, gq = grams(lead), grams(lq)
-            out.append(int(len(ga & gq) / max(1, len(ga | gq)) >= 0.75))
-    # refusal: without any part of the phrases there is nothing to look for
-    bag = set(words)
-    reported = said = declined = False
-    plain = a.replace("’", "'")
-    if may_refuse(plain):
-        said = bool(REFUSE.search(plain))
-        declined = bool(DECLINE_WORDS.search(plain))
-        reported = (said or declined) and bool(REPORTED.search(plain))
-    out.append(0 if reported else int(said))
-    out.append(0 if reported else int(declined and bool(HELP_WORDS.search(a)) and len(words) < 40))
-    out.append(int(len(words) < 30 and said and not reported) if said or len(words) >= 30 else (-1 if declined else 0))
-    shared = {w for w in bag if len(w) > 3} & {w for w in qwords if len(w) > 3}
-    out.append(0 if reported or (shared and not said) else (1 if said else -1 if len(words) < 12 else 0))
-    # language
-    guess = model.leaning(words) if len(words) >= 4 and qwords else None
-    if len(words) < 4 or not qwords:
-        out += [-1, 0, -1]
-    elif guess is not None and guess == model.leaning(qwords):
-        out += [0, 0, 0]
-    elif ASKS_OTHER.search(q):
-        out += [0, 0, 0]
-    else:
-        fq, fa = language.identify(model, q), language.identify(model, a)
-        va = model.score(words)
-        if fq.lang is None or fa.lang is None:
-            out += [-1, 0, -1]
-        else:
-            other = fq.lang != fa.lang and fq.lang not in fa.mixed
-            whole = all(l != fq.lang for _, l, _ in fa.segments)
-            gap = va[language.LANGS.index(fa.lang)] - va[language.LANGS.index(fq.lang)]
-            out += [int(other and fa.confidence > 0.6), int(other and whole), int(other and gap > 5.0)]
-    # truncated: what the end itself says
-    body = body_of(a)
-    tail = tokens(body)
+        return [-1, -1, -1]
+    rest = la.replace(lq, "")
+    lead = letters(LEAD_IN.sub("", a, count=1)) if LEAD_IN.match(a) else la
+    out = [int(len(rest) < len(la) and len(rest) <= 14) if lq in la else 0]
+    qt, at = Counter(qwords), Counter(words)
+    inter = sum(min(qt[w], at[w]) for w in qt)
+    new = sum(1 for w in at if w not in qt)
+    out.append(int(inter >= 0.85 * sum(qt.values()) and new <= 3) if qt else -1)
+    if not 0.6 < len(lead) / len(lq) < 1.7:
+        return [*out, 0]
+    grams = lambda s: {s[i : i + 4] for i in range(len(s) - 3)}
+    ga, gq = grams(lead), grams(lq)
+    return [*out, int(len(ga & gq) / max(1, len(ga | gq)) >= 0.75)]
+
+
+_SENTENCE = re.compile(r"[.!?…]\s|\n")
+
+
+def refusal_votes(a: str, qwords: list[str], words: list[str]) -> list[int]:
+    """A phrase of declining; words of declining and of helping; declining in the first sentence; whether the answer
+    otherwise speaks of what was asked."""
+    reported = said = declined = first = False
+    if may_refuse(a):  # without any part of the phrases there is nothing to look for
+        m = REFUSE.search(a)
+        said, declined = bool(m), bool(DECLINE_WORDS.search(a))
+        reported = (said or declined) and bool(REPORTED.search(a))
+        first = bool(m) and not _SENTENCE.search(a.strip(), 0, max(m.start() - 1, 0))
+    if reported:
+        return [0, 0, 0, 0]
+    shared = {w for w in words if len(w) > 3} & {w for w in qwords if len(w) > 3}
+    return [int(said), int(declined and bool(HELP_WORDS.search(a))), int(first) if said else -1 if declined else 0, 1 if said else 0 if shared else -1]
+
+
+def language_votes(fq: language.Found, fa: language.Found, gap: float, known: int) -> list[int]:
+    """Another language as a whole; in each sentence; by how much more the words are that language's. Two words that it
+    shares with others by chance are no vote, unless the script alone decides."""
+    if fq.lang is None or fa.lang is None or fq.lang != fa.lang and known < language.MIN_WORDS and ("ru" not in (fq.lang, fa.lang)):
+        return [-1, 0, -1]
+    if fq.lang == fa.lang or fq.lang in fa.mixed:
+        return [0, 0, 0]
+    return [1 if fa.confidence > 0.6 else -1, int(all(l != fq.lang for _, l, _ in fa.segments)), 1 if gap > 5.0 else -1]
+
+
+def end_vote(a: str, body: str, tail: list[str]) -> int:
+    """What the end itself says about breaking off."""
     if END_MARK.search(a.rstrip()) or END_MARK.search(body) or not tail:
-        out.append(0)
-    elif body.rstrip()[-1:] in ",;:" or body.rstrip()[-1:] in "-–(" or tail[-1] in OPEN_END and len(tail) > 3:
-        out.append(1)
-    else:
-        out.append(-1)
+        return 0
+    if body.rstrip()[-1:] in ",;:-–(" or tail[-1] in OPEN_END and len(tail) > 3:
+        return 1
+    return -1
+
+
+def judge_all(questions: list[str | None], answers: list[str | None], model: language.Model) -> list[tuple[list[int], list[str]]]:
+    """For each pair the votes of all functions but those that need the corpus (1 for, 0 against, -1 none; in the order of
+    ``DEFECTS``), and the tokens of the answer if it may be truncated."""
+    qs, as_ = [(q or "").translate(PLAIN) for q in questions], [(a or "").translate(PLAIN) for a in answers]
+    texts = list(dict.fromkeys([*qs, *as_]))
+    found = dict(zip(texts, language.identify_all(model, texts)))
+    out = []
+    for q, a in zip(qs, as_):
+        if not letters(a):
+            rest = FUNCTIONS["copy"] + FUNCTIONS["refusal"] + FUNCTIONS["language"] + 1
+            out.append(([1, int(not re.search(r"\w", a.replace("_", ""))), 1 if not a.strip() else -1, *[0] * rest], []))
+            continue
+        words, qwords = language.WORD.findall(a.lower()), language.WORD.findall(q.lower())
+        fq, fa = found[q], found[a]
+        if fq.lang is None or fa.lang is None or fq.lang == fa.lang:
+            lang = language_votes(fq, fa, 0.0, len(words))
+        elif ASKS_OTHER.search(q):
+            lang = [0, 0, 0]
+        else:
+            v = model.score(words)
+            at = language.LANGS.index(fa.lang)
+            known = sum(1 for w in words if w in model.words and model.words[w][at] > 0)
+            lang = language_votes(fq, fa, v[at] - v[language.LANGS.index(fq.lang)], known)
+        body = body_of(a)
+        tail = tokens(body)
+        end = end_vote(a, body, tail)
+        out.append(([0, 0, 0, *copy_votes(q, a, qwords, words), *refusal_votes(a, qwords, words), *lang, end], tail if end else []))
     return out
 
 
+def votes(question: str | None, answer: str | None, model: language.Model) -> list[int]:
+    return judge_all([question], [answer], model)[0][0]
+
+
 # ---- label model --------------------------------------------------------------------------------------------------------
 
 
@@ -319,39 +328,78 @@ def label_model(patterns: dict[tuple[int, ...], int], rounds: int = 50, weight:
     return dict(zip(keys, post.tolist()))
 
 
+def best_cutoff(patterns: dict[tuple[int, ...], int], trained: dict, held: dict) -> float:
+    """Where the expected F-measure is best on held-out pairs: combinations are ordered by the probabilities that one half
+    of the pairs gives, and counted with those of the other half. Between 0.05 and 0.95."""
+    order = sorted(patterns, key=lambda k: -trained.get(k, 0.0))
+    total = sum(n * held.get(k, 0.0) for k, n in patterns.items())
+    best, cut, hits, taken = -1.0, 0.5, 0.0, 0
+    for i, k in enumerate(order):
+        hits += patterns[k] * held.get(k, 0.0)
+        taken += patterns[k]
+        here, below = trained.get(k, 0.0), trained.get(order[i + 1], 0.0) if i + 1 < len(order) else 0.0
+        if here > below and 2 * hits / max(taken + total, 1e-9) > best:
+            best, cut = 2 * hits / max(taken + total, 1e-9), (here + below) / 2
+    return min(max(cut, 0.05), 0.95)
+
+
+def posteriors(halves: list[dict[tuple[int, ...], int]]) -> tuple[dict[tuple[int, ...], float], float]:
+    """(probability of the defect by combination of votes, cutoff), from the counts of two halves of the pairs. The cutoff
+    is the mean of the two that each half's model gets on the other half."""
+    whole: Counter = Counter()
+    for h in halves:
+        whole.update(h)
+    if not whole:
+        return {}, 0.5
+    a, b = (label_model(h) if h else {} for h in halves)
+    cuts = [best_cutoff(n, x, y) for n, x, y in ((halves[1], a, b), (halves[0], b, a)) if n and x]
+    return label_model(dict(whole)), sum(cuts) / len(cuts) if cuts else 0.5
+
+
 # ---- all of it ----------------------------------------------------------------------------------------------------------
 
+_JUDGED = "code string, own int, v array<int>, k3 bigint, kx bigint, k2 bigint, key bigint, ends bigint, goes_on bigint, open bigint"
+
 
 def scored(own: DataFrame, documents: DataFrame) -> DataFrame:
-    """``src, row_id, pair_no`` and ``p_<defect>`` of every pair. ``documents`` trains the language model (bounded sample)."""
+    """``src, row_id, pair_no``, ``p_<defect>`` of every pair, and ``defects``: those beyond their cutoffs, in the order of
+    ``DEFECTS``. ``documents`` trains the language model (bounded sample). An empty table gives no rows."""
     spark = own.sparkSession
     scratch = Scratch(spark, "pairs")
-    model = spark.sparkContext.broadcast(language.train(documents))
-    width = sum(FUNCTIONS.values()) - 3
+    model = spark.sparkContext.broadcast(language.train(documents))  # bounded by its sample
 
     def judge(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        m = model.value
+        names = [c.split()[0] for c in _JUDGED.split(", ")]
+
+        def frame(n: int, columns: dict) -> pd.DataFrame:
+            # numbers as nullable integers from the start: through floats keys would lose their last digits
+            none = pd.array([None] * n, dtype="Int64")
+            return pd.DataFrame({c: columns.get(c, none if c not in ("code", "v") else np.full(n, None, dtype=object)) for c in names})
+
         for b in batches:
             rows = []
-            for q, a in zip(b["question"], b["answer"]):
-                v = votes(q, a, m)
-                tail = tokens(body_of(a or "")) if v[-1] != 0 else []
-                k = tail_keys(tail) if tail else (None, None, None)
-                rows.append((v, *k, int(bool(tail) and _is_word(tail[-1]))))
-            # keys as nullable integers from the start: through floats they would lose their last digits
+            for v, tail in judge_all(b["question"].tolist(), b["answer"].tolist(), model.value):
+                rows.append((v, *(tail_keys(tail) if tail else (None, None, None)), int(bool(tail) and _is_word(tail[-1]))))
             columns = {k: pd.array([r[i] for r in rows], dtype="Int64") for i, k in enumerate(("k3", "kx", "k2"), 1)}
-            head = {"code": b["code"].to_numpy(), "own": np.array([r[4] for r in rows], dtype="int32")}
-            yield pd.DataFrame(head | {"v": pd.Series([r[0] for r in rows], dtype=object)} | columns)
+            v = pd.Series([r[0] for r in rows], dtype=object)
+            yield frame(len(rows), {"code": b["code"].to_numpy(), "own": pd.array([r[4] for r in rows], dtype="Int64"), "v": v} | columns)
+            # how sentences go on, counted over the same batch
+            seen: dict[int, list[int]] = {}
+            for (k, kind), n in continuations(t.translate(PLAIN) for c in ("question", "answer") for t in b[c] if t).items():
+                seen.setdefault(k, [0, 0, 0])[kind] += n
+            counts = np.array(list(seen.values()), dtype=np.int64).reshape(-1, 3)
+            yield frame(len(seen), {"key": pd.array(list(seen), dtype="Int64")} | {c: pd.array(counts[:, i], dtype="Int64") for i, c in enumerate(("ends", "goes_on", "open"))})
 
     # a pair that occurs in several rows is judged once; the digest stands for it
     coded, _ = scratch.put(own.withColumn("code", F.md5(F.concat_ws("\x00", F.coalesce("question", F.lit("")), F.coalesce("answer", F.lit(""))))))
-    each_once, _ = scratch.put(coded.groupBy("code").agg(F.min("question").alias("question"), F.min("answer").alias("answer")))
-    judged, _ = scratch.put(each_once.mapInPandas(judge, "code string, own int, v array<int>, k3 bigint, kx bigint, k2 bigint"))
-    stats, _ = scratch.put(statistics(each_once.select(F.explode(F.array("question", "answer")).alias("text"))))
-    # the tails in question are few; the counts are thinned to them before the join
+    each_once = coded.groupBy("code").agg(F.min("question").alias("question"), F.min("answer").alias("answer"))
+    both, _ = scratch.put(each_once.mapInPandas(judge, _JUDGED))
+    judged = both.where("code IS NOT NULL").select("code", "own", "v", "k3", "kx", "k2")
+    counted = both.where("key IS NOT NULL").select("key", "ends", "goes_on", "open")
+    # the tails in question are few; the counts are thinned to them before they are shuffled
     tails = judged.where("k3 IS NOT NULL")
     wanted = tails.select(F.explode(F.array("k3", "kx", "k2")).alias("key")).distinct()
-    known = stats.join(wanted, "key", "left_semi")
+    known, _ = scratch.put(counted.join(wanted, "key", "left_semi").groupBy("key").agg(*[F.sum(c).alias(c) for c in ("ends", "goes_on", "open")]))
     pick = lambda k: known.select(F.col("key").alias(k), F.struct("ends", "goes_on", "open").alias(f"s_{k}"))
     told = tails.join(pick("k3"), "k3", "left").join(pick("kx"), "kx", "left").join(pick("k2"), "k2", "left")
 
@@ -364,29 +412,34 @@ def scored(own: DataFrame, documents: DataFrame) -> DataFrame:
         rate = F.try_divide(whole, whole + n("goes_on"))
         return F.when((n("goes_on") >= 2) & (rate < 0.004), 1).when((whole >= 1) & (rate >= 0.02), 0).otherwise(-1)
 
-    told = told.select("code", F.concat("v", F.array(vote("s_k3"), vote("s_kx"), vote("s_k2"))).alias("v"))
-    rest = judged.where("k3 IS NULL").select("code", F.concat("v", F.array(F.lit(0), F.lit(0), F.lit(0))).alias("v"))
-    both, _ = scratch.put(coded.select("src", "row_id", "pair_no", "code").join(told.unionByName(rest), "code").drop("code"))
-    at, out = 1, both
+    # a last word that nobody goes on from or ends with there, where the sentence always goes on: a word cut in two
+    heard = F.coalesce(F.col("s_k3.ends") + F.col("s_k3.goes_on"), F.lit(0))
+    on, ends = F.coalesce("s_kx.goes_on", F.lit(0)), F.coalesce("s_kx.ends", F.lit(0))
+    cut = F.when((heard == 0) & (on >= 5) & (ends < 0.02 * on), 1).when(F.coalesce("s_k3.ends", F.lit(0)) > 0, 0).otherwise(-1)
+    told = told.select("code", F.concat("v", F.array(vote("s_k3"), vote("s_kx"), vote("s_k2"), cut)).alias("v"))
+    rest = judged.where("k3 IS NULL").select("code", F.concat("v", F.array_repeat(F.lit(0), 4)).alias("v"))
+    out, _ = scratch.put(coded.select("src", "row_id", "pair_no", "code").join(told.unionByName(rest), "code"))
+    at, pairs_of = 1, {}
     for d in DEFECTS:
-        k = FUNCTIONS[d]
-        own_votes = F.slice("v", at, k)
-        at += k
-        # at most 3 to the power of k combinations reach the driver
-        counts = {tuple(r["o"]): r["n"] for r in both.groupBy(own_votes.alias("o")).agg(F.count("*").alias("n")).collect()}
-        p = label_model(counts) if counts else {}
+        pairs_of[d] = F.slice("v", at, FUNCTIONS[d])
+        at += FUNCTIONS[d]
+    # at most 3 to the power of the functions combinations of each defect reach the driver, in one pass
+    asked = F.explode(F.array(*[F.struct(F.lit(d).alias("d"), o.alias("o")) for d, o in pairs_of.items()])).alias("x")
+    half = (F.conv(F.substring("code", 1, 1), 16, 10).cast("int") % 2).alias("half")
+    counts = out.select(half, asked).groupBy("half", "x.d", "x.o").agg(F.count("*").alias("n")).collect()
+    hits = []
+    for d, o in pairs_of.items():
+        p, cut = posteriors([{tuple(r["o"]): r["n"] for r in counts if r["d"] == d and r["half"] == h} for h in (0, 1)])
         table = F.create_map(*[x for c, y in p.items() for x in (F.lit(",".join(map(str, c))), F.lit(float(y)))]) if p else None
-        value = table[F.array_join(F.transform(own_votes, lambda x: x.cast("string")), ",")] if p else F.lit(0.0)
+        value = table[F.array_join(F.transform(o, lambda x: x.cast("string")), ",")] if p else F.lit(0.0)
         out = out.withColumn(f"p_{d}", value)
-    assert at == width + 4
-    return out.drop("v")
+        hits.append(F.when(F.col(f"p_{d}") > F.lit(float(cut)), F.lit(d)))
+    return out.withColumn("defects", F.array_compact(F.array(*hits))).drop("v", "code")
 
 
 def defects(own: DataFrame, documents: DataFrame) -> DataFrame:
     """``src, row_id, pair_no, defects``: every defect beyond its cutoff, of pairs that have any."""
-    s = scored(own, documents)
-    found = F.filter(F.array(*[F.when(F.col(f"p_{d}") > CUTOFF[d], F.lit(d)) for d in DEFECTS]), lambda x: x.isNotNull())
-    return s.select("src", "row_id", "pair_no", found.alias("defects")).where(F.size("defects") > 0)
+    return scored(own, documents).select("src", "row_id", "pair_no", "defects").where(F.size("defects") > 0)
 
 
 def found(own: DataFrame, documents: DataFrame) -> DataFrame:
