@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from threadmill import sources, streaming
-from threadmill.functions import fuzzy, slang
+from threadmill.functions import fuzzy, lexicon, rx, slang
 from threadmill.operators import clean, hierarchy, messages, ranking, redelivery, risk
 
 T0 = dt.datetime(2024, 1, 1)
@@ -186,3 +186,76 @@ def test_stream(spark, tmp_path):
     q = streaming.cleaned_messages(stream).writeStream.format("memory").queryName("cleaned").trigger(availableNow=True).start()
     q.awaitTermination(60)
     assert [r["message_id"] for r in spark.table("cleaned").collect()] == ["m"]
+
+
+# ---- risk filter --------------------------------------------------------------------------------------------------------
+
+
+def spoiled(rng, word):
+    """A term under look-alikes, repetitions and characters in between."""
+    out = ""
+    for c in word:
+        forms = lexicon.LOOKALIKES.get(c, c)
+        for _ in range(rng.choice([1, 1, 1, 1, 2, 3])):
+            out += rng.choice(forms) if rng.random() < 0.3 else c
+            out += "".join(rng.choice(" .-_!|*+°") for _ in range(rng.choice([0, 0, 0, 0, 1, 2, 3, 4])))
+    return out
+
+
+def risky_texts(n, seed=5):
+    rng = random.Random(seed)
+    terms = [w for _, lists in lexicon.LEXICON for words in lists for w in words] + lexicon.TWO_LETTER_PHRASES
+    other = ["hello", "the lamp", "555-123-4567", "a@b.com", "1.2.3.4", "here's his address", "0x" + "ab" * 20, "2021-2022", "ſ K ı", "é"]
+    texts = []
+    for _ in range(n):
+        parts = []
+        for _ in range(rng.randint(1, 4)):
+            kind = rng.random()
+            if kind < 0.4:
+                parts.append(spoiled(rng, rng.choice(terms)))
+            elif kind < 0.7:
+                parts.append("".join(rng.choice("abcdeilkmnoprstuxyz !|10$@.-7é") for _ in range(rng.randint(1, 14))))
+            else:
+                parts.append(rng.choice(other))
+        texts.append(" ".join(parts))
+    return texts
+
+
+def restated():
+    """The terms as one pattern of another engine, from the description: each letter stands for its look-alikes, may be
+    repeated possessively a hundred times with up to three other characters before each, and up to three may follow."""
+    import re
+
+    between = r"[\W_]{0,3}"
+
+    def letter(c):
+        forms = "".join(dict.fromkeys(lexicon.LOOKALIKES.get(c, c)))
+        one = "[" + "".join(map(re.escape, forms)) + "]" if len(forms) > 1 else re.escape(forms)
+        return f"{one}(?:{between}?{one}){{0,100}}+"
+
+    def term(words):
+        return between.join(letter(c) for w in words.split() for c in w)
+
+    wanted = [t for _, lists in lexicon.LEXICON for words in lists for t in words]
+    exact = [r"\b" + r"\s+".join(p.split()) + r"\b" for p in lexicon.TWO_LETTER_PHRASES]
+    return re.compile("|".join([*map(term, wanted), *exact]), re.I)
+
+
+def test_risk_groups_equal_the_whole_pattern_and_a_restatement(spark):
+    texts = risky_texts(1500)
+    df = spark.createDataFrame(list(enumerate(texts)), "i int, t string").withColumn("n", risk.normalize_text("t"))
+    whole = F.coalesce(rx.found("t", fuzzy.PII) | rx.found("n", fuzzy.union()), F.lit(False))
+    terms_only = "(?iu)" + "|".join(p for p in fuzzy.alternatives() if p != fuzzy.PII)
+    got = df.select("i", "n", whole.alias("whole"), risk.matches_risk("t", F.col("n")).alias("fast"), rx.found("n", terms_only).alias("terms")).collect()
+    assert [r["i"] for r in got if r["whole"] != r["fast"]] == []
+    assert 0.3 < sum(r["whole"] for r in got) / len(got) < 0.95
+    again = restated()
+    assert [r["n"] for r in got[:300] if r["terms"] != bool(again.search(r["n"]))] == []
+
+
+def test_risk_filter_handles_nulls_and_odd_columns(spark):
+    df = spark.createDataFrame([(None, 1), ("", 2), ("k1ds", 3), ("hello there " * 4_000, 4), ("a@b.com", 5)], "`text` string, `__norm_0` int")
+    assert sorted(r[1] for r in risk.risk_filter(df.withColumnRenamed("__norm_0", "n`o")).collect()) == [1, 2, 4]
+    red = {r[1]: r[0] for r in risk.risk_filter(df, action="redact").collect()}
+    assert red[1] is None and red[2] == "" and "k1ds" not in red[3] and red[5] == "[REDACTED]"
+    assert risk.risk_filter(df.limit(0)).count() == 0

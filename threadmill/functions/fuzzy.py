@@ -35,7 +35,7 @@ def fuzzy_any(words: list[str], gap: str = GAP, bounded: bool = False) -> str:
 
 
 _D, _S, _B = r"\p{Nd}", rx.S, rx.B
-#: Contact and identity data as the risk filter knows it.
+# Contact and identity data as the risk filter knows it.
 PII = "|".join(
     (
         rf"({_B}{_D}{{3}}[-.{rx.SPACES}]?{_D}{{2}}[-.{rx.SPACES}]?{_D}{{4}}{_B})",
@@ -50,8 +50,8 @@ PII = "|".join(
 REMOTE = rf"{_B}({'|'.join(f'{_S}+'.join(p.split()) for p in TWO_LETTER_PHRASES)}){_B}"
 
 
-def union() -> str:
-    """All categories in their order, ignoring case; for replacement the order of alternatives counts."""
+def alternatives() -> list[str]:
+    """The alternatives of all categories in their order."""
     parts = []
     for name, lists in LEXICON:
         if name == "pii":
@@ -60,4 +60,55 @@ def union() -> str:
             parts += [fuzzy_any(lists[0]), REMOTE, fuzzy_any(lists[1])]
         else:
             parts += [fuzzy_any(words) for words in lists]
-    return "(?iu)" + "|".join(parts)
+    return parts
+
+
+def union() -> str:
+    """All categories in their order, ignoring case; for replacement the order of alternatives counts."""
+    return "(?iu)" + "|".join(alternatives())
+
+
+# ---- what a match needs -------------------------------------------------------------------------------------------------
+
+#: Look-alikes that are no letters or digits: they can stand for a letter or for nothing.
+_EITHER = "".join(sorted({c for forms in LOOKALIKES.values() for c in forms if not c.isalnum()}))
+_EITHER_INSIDE = "".join(map(rx.literal, _EITHER))
+#: What can only stand between letters; texts are looked at without it.
+ONLY_BETWEEN = rf"[^\p{{L}}\p{{N}}{_EITHER_INSIDE}]+"
+#: What a text with contact data holds: four digits close together, an at sign, a long run, or a word of the phrases.
+PII_NEEDS = r"@|\p{Nd}(?:[^\p{Nd}]{0,2}\p{Nd}){3}|[a-zA-Z0-9]{26}|(?iu:address|dox|swat)"
+
+
+def needs(words: list[str]) -> str:
+    """Pattern that every text in which ``fuzzy_any(words)`` matches also matches, once ``ONLY_BETWEEN`` is cut out: the
+    letters' classes in order, with any repetition. The words share their beginnings, so few branches are tried."""
+    tree: dict = {}
+    for w in words:
+        at = tree
+        # characters that can only stand between letters have been cut out; elongation makes equal neighbours one
+        letters = [c for c in w if c.isalnum() or c in _EITHER]
+        for i, c in enumerate(letters):
+            if not i or c != letters[i - 1]:
+                at = at.setdefault(c, {})
+        at[""] = {}
+
+    def render(node: dict) -> str:
+        if "" in node:
+            return ""
+        # repetitions of a letter can have others between them that stand for nothing
+        branches = [f"{letter_class(c)}[{letter_class(c).strip('[]')}{_EITHER_INSIDE}]*{render(sub)}" for c, sub in sorted(node.items())]
+        return branches[0] if len(branches) == 1 else "(?:" + "|".join(branches) + ")"
+
+    return "(?iu)" + render(tree)
+
+
+def groups() -> list[tuple[str, str]]:
+    """(what a match needs, pattern) for all terms, in groups by first letter and by whether they are short; a text
+    matches ``union`` without contact data if and only if it matches one of the patterns."""
+    own: dict[tuple[str, bool], list[str]] = {}
+    for _, lists in LEXICON:
+        for words in lists:
+            for w in dict.fromkeys(words):
+                own.setdefault((w[0], len(w) < 4), []).append(w)
+    out = [(needs(list(dict.fromkeys(words))), "(?iu)" + fuzzy_any(list(dict.fromkeys(words)))) for _, words in sorted(own.items())]
+    return [*out, (needs(TWO_LETTER_PHRASES), "(?iu)" + REMOTE)]

@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 
 from ..functions import fuzzy, rx
 from ..functions.slang import quoted
+from .clean import pinned
 
 TEXT_COLUMNS = ["text", "content", "message"]
 REDACTION = "[REDACTED]"
@@ -36,21 +37,37 @@ def normalize_text(c: str | Column, ascii_only: bool = False) -> Column:
 
 
 def has_pii(c: str | Column) -> Column:
-    return F.coalesce(rx.found(c, fuzzy.PII), F.lit(False))
+    """Contact data; the costly pattern only where there is what it needs."""
+    return F.coalesce(rx.found(c, fuzzy.PII_NEEDS) & rx.found(c, fuzzy.PII), F.lit(False))
 
 
-def matches_risk(c: str | Column, norm: Column | None = None) -> Column:
+def has_terms(norm: Column, bare: Column) -> Column:
+    """Any alternative of the whole pattern in the normalised text. ``bare``: the text without what only stands between
+    letters. Look-alike patterns back-track much, so each group of terms is only tried on texts that have its letters in
+    order; ``And`` leaves the right side out where the left is false."""
+    found = (rx.found(bare, need) & rx.found(norm, pattern) for need, pattern in fuzzy.groups())
+    pii = rx.found(norm, fuzzy.PII_NEEDS) & rx.found(norm, "(?iu)" + fuzzy.PII)
+    return F.coalesce(reduce(lambda a, b: a | b, found) | pii, F.lit(False))
+
+
+def bare(norm: Column) -> Column:
+    return rx.sub(norm, fuzzy.ONLY_BETWEEN)
+
+
+def matches_risk(c: str | Column, norm: Column | None = None, stripped: Column | None = None) -> Column:
     """Contact data in the text as it is, or any pattern in its normalised form. NULL: false."""
     c = rx.col(c)
-    return has_pii(c) | (c.isNotNull() & F.coalesce(rx.found(norm if norm is not None else normalize_text(c), fuzzy.union()), F.lit(False)))
+    norm = norm if norm is not None else normalize_text(c)
+    return has_pii(c) | (c.isNotNull() & has_terms(norm, stripped if stripped is not None else bare(norm)))
 
 
-def redact(c: str | Column, norm: Column | None = None, token: str = REDACTION) -> Column:
+def redact(c: str | Column, norm: Column | None = None, token: str = REDACTION, stripped: Column | None = None) -> Column:
     """Contact data replaced; then, where the normalised text matches, all patterns replaced in the text that is not
     normalised, so a match that only normalising brings out stays. NULL stays NULL."""
     c = rx.col(c)
-    text = rx.sub(c, fuzzy.PII, token)
-    return F.when(rx.found(norm if norm is not None else normalize_text(c), fuzzy.union()), rx.sub(text, fuzzy.union(), token)).otherwise(text)
+    norm = norm if norm is not None else normalize_text(c)
+    text = F.when(rx.found(c, fuzzy.PII_NEEDS), rx.sub(c, fuzzy.PII, token)).otherwise(c)
+    return F.when(has_terms(norm, stripped if stripped is not None else bare(norm)), rx.sub(text, fuzzy.union(), token)).otherwise(text)
 
 
 def detect_text_columns(df: DataFrame, preferred: list[str] | None = None) -> list[str]:
@@ -72,10 +89,14 @@ def risk_filter(df: DataFrame, cols: list[str] | None = None, action: str = "dro
     strings = [f.name for f in df.schema.fields if f.name in own and isinstance(f.dataType, T.StringType)]
     if not strings:
         return df
-    columns, norms = df.columns, [f"__norm_{i}" for i in range(len(strings))]
-    wide = df.withColumns({n: normalize_text(quoted(c)) for n, c in zip(norms, strings)})
+    prefix = "__norm"
+    while any(c.startswith(prefix) for c in df.columns):
+        prefix += "_"
+    columns, norms = df.columns, [f"{prefix}{i}" for i in range(len(strings))]
+    wide = pinned(df, **{n: normalize_text(quoted(c)) for n, c in zip(norms, strings)})
+    wide = pinned(wide, **{f"{n}_bare": bare(F.col(n)) for n in norms})
     if action == "drop":
-        hit = reduce(lambda a, b: a | b, [matches_risk(quoted(c), F.col(n)) for n, c in zip(norms, strings)])
+        hit = reduce(lambda a, b: a | b, [matches_risk(quoted(c), F.col(n), F.col(f"{n}_bare")) for n, c in zip(norms, strings)])
         return wide.where(~hit).select(*[quoted(c) for c in columns])
-    new = {c: redact(quoted(c), F.col(n)) for n, c in zip(norms, strings)}
+    new = {c: redact(quoted(c), F.col(n), stripped=F.col(f"{n}_bare")) for n, c in zip(norms, strings)}
     return wide.select(*[new[c].alias(c) if c in new else F.col(quoted(c)) for c in columns])
