@@ -71,10 +71,10 @@ def test_resample_and_split(spark):
         clean.resample(df, "nothing")
 
 
-def test_smart_clean_counts(spark):
+def test_four_stages(spark):
     ok = chat(("user", "hello there friend"), ("assistant", "u r fine"))
     df = spark.createDataFrame([(1, ok), (2, chat(("user", "well-known"), ("assistant", "x"))), (3, "gone"), (4, None)], "row_id long, text string")
-    c = clean.smart_clean(df)
+    c = clean.four_stages(df)
     assert rows(c.good, "row_id") == [(1,)] and rows(c.bad, "row_id", "reason") == [(2, "DOUBLE_DASH")]
     assert rows(c.changes, "row", "column") == [(1, "text")] and "you are fine" in c.done.collect()[0]["text"] and c.invalid.count() == 0
 
@@ -176,7 +176,7 @@ def test_command_line(spark, tmp_path):
     from threadmill.plans.__main__ import main
 
     sources.write(spark.createDataFrame([("a , <|im_end|>",)], "text string"), f"{tmp_path}/in.csv")
-    main(["fixend", "-p", f"{tmp_path}/in.csv", "-o", f"{tmp_path}/out.csv"], spark)
+    main(["end-tags", "-p", f"{tmp_path}/in.csv", "-o", f"{tmp_path}/out.csv"], spark)
     assert sources.read_csv(spark, f"{tmp_path}/out.csv").collect()[0]["text"] == "a<|im_end|>"
 
 

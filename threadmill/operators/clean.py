@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -45,6 +47,20 @@ def split_reason(df: DataFrame) -> tuple[DataFrame, DataFrame]:
     return df.where("reason IS NULL").select(*rest), df.where("reason IS NOT NULL").select("reason", *rest)
 
 
+def stage_counts(df: DataFrame, stages: Cleaned) -> DataFrame:
+    """``stage, rows``: rows of the input and of each stage, one row a stage. Each stage is counted where it is, so nothing
+    but counts is moved."""
+    named = [("processed", df), *[(n, getattr(stages, n)) for n in ("good", "bad", "changes", "resampled", "done", "invalid")]]
+    return reduce(DataFrame.unionByName, [d.agg(F.count("*").alias("rows")).select(F.lit(n).alias("stage"), "rows") for n, d in named])
+
+
+def kept_counts(before: DataFrame, after: DataFrame) -> DataFrame:
+    """``processed, kept, removed`` of an operator that leaves rows out."""
+    all_ = before.agg(F.count("*").alias("processed"), F.lit(0).alias("kept"))
+    both = all_.unionByName(after.agg(F.lit(0).alias("processed"), F.count("*").alias("kept")))
+    return both.agg(*[F.sum(c).alias(c) for c in ("processed", "kept")]).withColumn("removed", F.col("processed") - F.col("kept"))
+
+
 def reason_histogram(df: DataFrame) -> DataFrame:
     return df.groupBy("reason").agg(F.count("*").alias("n"))
 
@@ -115,7 +131,7 @@ def dedupe_chats(df: DataFrame, col: str = "text", row_id: str = "row_id", mode:
 
 def new_chains(df: DataFrame, known: DataFrame, col: str = "text") -> DataFrame:
     """Rows whose chain hash isn't among ``known.hash``: the incremental form. Rows without a message are dropped."""
-    own = df.withColumn("__hash", chatml.chain_hash(quoted(col))).where("__hash IS NOT NULL")
+    own = pinned(df, __hash=chatml.chain_hash(quoted(col))).where("__hash IS NOT NULL")
     return own.join(known.select(F.col("hash").alias("__hash")).distinct(), "__hash", "left_anti").drop("__hash")
 
 
@@ -129,11 +145,18 @@ class Cleaned:
     invalid: DataFrame
 
 
-def smart_clean(df: DataFrame, col: str = "text", row_id: str = "row_id", n: int | None = None, seed: int | None = 0, code_mode: str = "actual") -> Cleaned:
-    """All four stages as one lazy plan; every stage is a DataFrame of its own."""
-    good, bad = split_reason(trim_and_reject(df, col, code_mode))
+def four_stages(
+    df: DataFrame, col: str = "text", row_id: str = "row_id", n: int | None = None, seed: int | None = 0, code_mode: str = "actual",
+    length: Callable[[Column], Column] | None = None, max_tokens: float | None = None,
+) -> Cleaned:
+    """All four stages as one lazy plan; every stage is a DataFrame of its own.
+
+    ``length``: tokens of a text, by default words and punctuation marks (``tokens.tokenizer_len`` for a tokenizer file).
+    With it, rows that it fails on are rejected as TOKEN_ERROR; with ``max_tokens`` longer ones as TOO_LONG."""
+    count = length or (text.token_len if max_tokens is not None else None)
+    good, bad = split_reason(trim_and_reject(df, col, code_mode, count(F.col(quoted(col))) if count else None, max_tokens))
     changes = slang.slang_changes(good, row_id)
     plain = pinned(good, **{c: slang.replace_slang(quoted(c)) for c in slang.string_columns(good)})
-    resampled = resample(plain, col, row_id, n, seed)
+    resampled = resample(plain, col, row_id, n, seed, length(F.col(quoted(col))) if length else None)
     done, invalid = split_reason(validate(resampled, col, row_id))
     return Cleaned(good, bad, changes, resampled, done, invalid)

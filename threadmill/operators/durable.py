@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -9,12 +10,15 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """``spark.checkpoint.dir`` of the session. Where it is unset (tests, one machine) a temporary folder becomes it."""
+    """``spark.checkpoint.dir`` of the session. Where it is unset on a single machine (``local``) a temporary folder becomes
+    it; executors elsewhere couldn't read that, so on a cluster it must be set."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
         kept = spark.sparkContext._jsc.sc().getCheckpointDir()
         if kept.isDefined():
             return kept.get()
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
         folder = "file://" + tempfile.mkdtemp(prefix="threadmill-")
         spark.conf.set("spark.checkpoint.dir", folder)
     return folder

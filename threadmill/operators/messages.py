@@ -8,6 +8,7 @@ from pyspark.sql.window import Window
 
 from ..functions import rx, text
 from ..functions.slang import quoted
+from .clean import pinned
 
 IDS = ["message_id", "message_reference_message_id", "guild_id", "channel_id", "author_id"]
 #: What is cut out of a message. Mentions come longest form first, so leftmost-first equals leftmost-longest.
@@ -32,7 +33,8 @@ def filter_messages(df: DataFrame, mode: str = "actual", tie: str | None = None)
     own = df.where(~F.col("author_bot").eqNullSafe(True)) if "author_bot" in df.columns else df
     own = own.where(F.col("content").isNotNull() & (F.col("content") != "") & text.has_word("content", text.STOP_WORDS))
     extra = [F.col(quoted(tie)).alias("__tie")] if tie else []
-    own = own.select(*[F.col(c).cast("string").alias(c) for c in IDS], clean_content("content").alias("content"), "timestamp", *extra)
+    own = own.select(*[F.col(c).cast("string").alias(c) for c in IDS], "content", "timestamp", *extra)
+    own = pinned(own, content=clean_content("content"))
     own = own.where(F.trim("content") != "")
     if mode == "documented":
         own = own.where(~rx.found("content", COMMAND))

@@ -38,6 +38,8 @@ def surplus(df: DataFrame, key: str, time: str, tie: str) -> DataFrame:
 
 
 def new_messages(batch: DataFrame, stored: DataFrame, key: str, time: str, tie: str) -> DataFrame:
-    """Of a new batch: one copy of each message whose identifier isn't stored yet (anti-join against ``stored[key]``)."""
-    known = stored.select(identifier(quoted(key)).alias(key)).where(F.col(quoted(key)).isNotNull())
+    """Of a new batch: one copy of each message whose identifier isn't stored yet (anti-join against ``stored[key]``).
+
+    Stored identifiers are made distinct in the map tasks, so one that the store repeats is no hot key."""
+    known = stored.select(identifier(quoted(key)).alias(key)).where(F.col(quoted(key)).isNotNull()).distinct()
     return keep_first(batch, key, time, tie).join(known, key, "left_anti")

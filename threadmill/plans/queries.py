@@ -7,9 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .. import sources
 from ..functions import chatml, predicates, rx, slang, text
 from ..operators import clean, hierarchy, messages, redelivery, risk
-from ..operators.durable import spread
+from ..operators.durable import Scratch, spread
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -100,7 +101,9 @@ def s_slang(x: str) -> str:
     return x
 
 
-def s_reason(source: str = "dump") -> str:
+def s_tests() -> list[tuple[str, str]]:
+    """Each reject predicate over ``text``, ``msgs`` and ``weird`` (messages of foreign script)."""
+
     def msgs(f: Callable[[str], str]) -> str:
         return s_any("msgs", f, "mm")
 
@@ -110,15 +113,11 @@ def s_reason(source: str = "dump") -> str:
     bullet = predicates.BULLET_LINE
     plain = s_sub("text", chatml.STRUCTURAL)
     service = rf"(?i)(?:^|{rx.NOT_W})(?:{predicates.SERVICE_WORDS})(?:{rx.NOT_W}|$)"
-    clean_msgs = s_map("msgs", lambda v: s_sub(v, chatml.STRUCTURAL), "cm")
-    foreign = predicates.FOREIGN.replace(r"\p{Cn}\p{Cs}", "")
-    weird = s_keep(clean_msgs, lambda v: f"length({v}) > 0 AND len(regexp_extract_all({v}, {q(foreign)})) / length({v}) >= 0.3", "wm")
-    label = "CASE " + " ".join(f"WHEN {s_found('weird[1]', f'[{r}]')} THEN '{n.upper()}'" for r, n in predicates.SCRIPTS) + " ELSE 'OTHER' END"
     numbered = lambda v: (
         f"CASE WHEN {s_found(v, bullet)} THEN {s_found(f'regexp_replace({v}, {q(bullet)}, {q(chr(0)[:0])})', predicates.NUMBER_START)}"
         f" ELSE {s_found(v, rf'^{rx.S}*(?:[xX]{rx.S}*)?\p{{Nd}}+')} END"
     )
-    tests = [
+    return [
         ("CARD_TRADE", f"length({s_strip('text')}) >= 10 AND ({s_found(s_strip('text'), r'^\p{Nd}{13,16}')} OR {s_found(s_strip('text'), predicates.TRADE.replace('(?iu)', '(?i)'))})"),
         ("EMOJI_SPAM", s_found("text", f"{rx.EMOJI}{rx.S}*{rx.EMOJI}")),
         ("BULLETPOINT_LIST", msgs(lambda v: f"len({s_lines(v)}) > 2 AND {count(s_lines(v), lambda l: s_found(l, bullet), 'bl')} / len({s_lines(v)}) >= 0.5")),
@@ -137,11 +136,47 @@ def s_reason(source: str = "dump") -> str:
         ("NWORD", s_found(plain, f"(?i){predicates.SLUR}")),
         ("CP_REFERENCE", s_found(plain, rf"(?i)(?:^|{rx.NOT_W}){predicates.MINORS}(?:{rx.NOT_W}|$)")),
     ]
-    whens = " ".join(f"WHEN {t} THEN " + (f"'NONLATIN_SPAM_' || {label}" if n == "NONLATIN" else f"'{n}'") for n, t in tests)
-    return (
-        f"WITH m AS (SELECT row_id, text, {S_MSGS} AS msgs FROM {source} WHERE text IS NOT NULL), "
-        f"w AS (SELECT row_id, text, msgs, {weird} AS weird FROM m) SELECT row_id, text, CASE {whens} END AS reason FROM w"
-    )
+
+
+def s_with_messages(source: str) -> str:
+    clean_msgs = s_map("msgs", lambda v: s_sub(v, chatml.STRUCTURAL), "cm")
+    foreign = predicates.FOREIGN.replace(r"\p{Cn}\p{Cs}", "")
+    weird = s_keep(clean_msgs, lambda v: f"length({v}) > 0 AND len(regexp_extract_all({v}, {q(foreign)})) / length({v}) >= 0.3", "wm")
+    return f"WITH m AS (SELECT row_id, text, {S_MSGS} AS msgs FROM {source} WHERE text IS NOT NULL), w AS (SELECT row_id, text, msgs, {weird} AS weird FROM m)"
+
+
+def s_reason(source: str = "dump") -> str:
+    label = "CASE " + " ".join(f"WHEN {s_found('weird[1]', f'[{r}]')} THEN '{n.upper()}'" for r, n in predicates.SCRIPTS) + " ELSE 'OTHER' END"
+    whens = " ".join(f"WHEN {t} THEN " + (f"'NONLATIN_SPAM_' || {label}" if n == "NONLATIN" else f"'{n}'") for n, t in s_tests())
+    return f"{s_with_messages(source)} SELECT row_id, text, CASE {whens} END AS reason FROM w"
+
+
+#: A message for each reject predicate. The tables hold few of them, so every second text (by length) gets one in front.
+TRIGGERS = {
+    "CARD_TRADE": "i have two cards, looking for a third", "EMOJI_SPAM": "\U0001f600 \U0001f680", "BULLETPOINT_LIST": "- tea\n- salt\n- rice",
+    "LF_HINT": "LF3 players tonight", "FAKE_TOKEN": "see <that_token> here", "DOUBLE_DASH": "a well-known place", "PERCENT_ENCODING": "look at a%20b",
+    "NONLATIN": "привет, как дела", "SINGLE_WORD_LINES": "one\ntwo\nthree\nfour\nfive", "SERVICE_AD": "- accepting orders\n- offering help\n- dm me\n- prices inside",
+    "MULTI_NEWLINES": "up\n\n\ndown", "DISCORD_TIMESTAMP": "starts <t:1700000000:R>", "DUPLICATE_LINES_ONLY": "again\nagain", "NUMBERED_LINE_BLOCK": "1 a\n2 b\nx3 c\n4 d\ne",
+    "NUMERIC_ONLY_LINE": "a\n42\nb", "NWORD": "the river Niger is long", "CP_REFERENCE": "a law against child pornography",
+}
+
+
+def _one_reason(label: str) -> Query:
+    test = dict(predicates.ORDER)["NONLATIN_SPAM" if label == "NONLATIN" else label]
+    front = f"<|im_start|>user\n{TRIGGERS[label]}<|im_end|>\n"
+
+    def run(spark: SparkSession, d: str) -> DataFrame:
+        df = wide(spark, d, "dump").where("text IS NOT NULL").withColumn("text", F.when(F.length("text") % 2 == 0, F.concat(F.lit(front), "text")).otherwise(F.col("text")))
+        df = clean.pinned(df.select("row_id", "text"), turns=chatml.turns("text"))
+        return df.select("row_id", test(F.col("text"), F.col("turns")).alias("result"))
+
+    return run
+
+
+def s_one_reason(label: str) -> str:
+    front = f"<|im_start|>user\n{TRIGGERS[label]}<|im_end|>\n"
+    source = f"(SELECT row_id, CASE WHEN length(text) % 2 = 0 THEN {q(front)} || text ELSE text END AS text FROM dump)"
+    return f"{s_with_messages(source)} SELECT row_id, {dict(s_tests())[label]} AS result FROM w"
 
 
 def s_chain(source: str, out: str = "text") -> str:
@@ -170,6 +205,13 @@ def s_invalid(source: str) -> str:
     )
 
 
+def s_code_line(v: str) -> str:
+    """Marks of code, or a word that opens a line of code."""
+    words = "|".join(rx.literal(w) for w in predicates.CODE_WORDS)
+    opening = s_found(f"{v} || ' '", rf"(?i)^{rx.S}*(?:{words}){rx.NOT_W}")
+    return f"({s_found(v, r'[;{}=<>#\[\]()]')} OR {opening} OR {s_found(v, r'\+\+')})"
+
+
 S_CLEANED = f"""
   SELECT CAST(message_id AS VARCHAR) AS message_id, message_reference_message_id, guild_id, channel_id, author_id,
     {s_sub("content", messages.NOISE)} AS content, "timestamp", delivery_id
@@ -247,6 +289,50 @@ def resample_all(spark: SparkSession, d: str) -> DataFrame:
     return clean.resample(table(spark, d, "dump").select("row_id", "text")).select("row_id", "tokens")
 
 
+def _four_stages(spark: SparkSession, d: str) -> tuple[DataFrame, clean.Cleaned]:
+    df = wide(spark, d, "dump").select("row_id", "text", "source")
+    return df, clean.four_stages(df)
+
+
+def _stage_counts(spark: SparkSession, d: str) -> DataFrame:
+    return clean.stage_counts(*_four_stages(spark, d))
+
+
+def _unique_counts(spark: SparkSession, d: str) -> DataFrame:
+    return clean.kept_counts(table(spark, d, "dump"), clean.dedupe_chats(table(spark, d, "dump")))
+
+
+def _message_counts(spark: SparkSession, d: str) -> DataFrame:
+    df = table(spark, d, "filter_me")
+    return clean.kept_counts(df, messages.filter_messages(df, tie="delivery_id"))
+
+
+def _too_long(spark: SparkSession, d: str) -> DataFrame:
+    df = wide(spark, d, "dump").select("row_id", "text")
+    return clean.trim_and_reject(df, tokens=text.token_len("text"), max_tokens=LONGEST).select("row_id", "reason")
+
+
+#: Tokens from which the query of long conversations rejects.
+LONGEST = 60
+
+
+def _csv_round_trip(spark: SparkSession, d: str) -> DataFrame:
+    """Conversations written as CSV in another dialect and read again: quotes, separators and line breaks inside fields."""
+    path = f"{Scratch(spark, 'round-trip').root}/dump.csv"
+    sources.write_csv(wide(spark, d, "dump").select("row_id", "text", "source"), path, sep=";", quote="'")
+    return sources.read_csv(spark, path, sep=";", quote="'", drop_null="text")
+
+
+def _shards_round_trip(spark: SparkSession, d: str) -> DataFrame:
+    """A folder of Parquet and CSV shards with different columns, read as one frame."""
+    root = Scratch(spark, "shards").root
+    df = table(spark, d, "done").withColumn("row_id", F.col("row_id").cast("string"))
+    sources.write(df.select("row_id", "text"), f"{root}/a.parquet")
+    sources.write(table(spark, d, "resampled").select("row_id", "source"), f"{root}/b.csv")
+    sources.write(table(spark, d, "dump").select("row_id", "source"), f"{root}/c.csv")
+    return sources.read_shards(spark, root).select("row_id", "text", "source")
+
+
 def _counts(spark: SparkSession, d: str) -> DataFrame:
     df = clean.validate(table(spark, d, "resampled"))
     return df.agg(F.count("*").alias("total"), F.count_if(F.col("reason").isNull()).alias("valid"), F.count("reason").alias("invalid"))
@@ -303,8 +389,15 @@ def queries() -> dict[str, Query]:
         "risk_pii": scalar(risk.has_pii, "filter_me", "delivery_id", "content"),
         "risk_drop": lambda s, d: risk.risk_filter(wide(s, d, "filter_me"), ["content"]).select("delivery_id"),
         "risk_redact": lambda s, d: risk.risk_filter(wide(s, d, "filter_me"), ["content"], "redact").select("delivery_id", "content"),
-        "smart_clean_done": lambda s, d: clean.smart_clean(wide(s, d, "dump").select("row_id", "text", "source")).done.select("row_id", "text", "tokens"),
-        "smart_clean_invalid": lambda s, d: clean.smart_clean(wide(s, d, "dump").select("row_id", "text", "source")).invalid.select("row_id", "reason"),
+        "stages_done": lambda s, d: _four_stages(s, d)[1].done.select("row_id", "text", "tokens"),
+        "stages_invalid": lambda s, d: _four_stages(s, d)[1].invalid.select("row_id", "reason"),
+        "stage_counts": _stage_counts,
+        "unique_counts": _unique_counts,
+        "message_counts": _message_counts,
+        "too_long": _too_long,
+        "csv_round_trip": _csv_round_trip,
+        "shards_round_trip": _shards_round_trip,
+        **{f"reject_{label.lower()}": _one_reason(label) for label in TRIGGERS},
     }
 
 
@@ -359,8 +452,21 @@ def oracle_sql() -> dict[str, str]:
         "transform_chain": s_chain("dump", "result"),
         "trim_and_reject": S_TRIMMED,
         "reason_histogram": f"SELECT reason, count(*) AS n FROM ({S_TRIMMED}) GROUP BY reason",
-        "smart_clean_done": f"{good} SELECT row_id, text, CAST({tokens} AS INTEGER) AS tokens FROM g JOIN ({s_invalid('g')}) USING (row_id) WHERE reason IS NULL",
-        "smart_clean_invalid": f"{good} SELECT row_id, reason FROM ({s_invalid('g')}) WHERE reason IS NOT NULL",
+        "stages_done": f"{good} SELECT row_id, text, CAST({tokens} AS INTEGER) AS tokens FROM g JOIN ({s_invalid('g')}) USING (row_id) WHERE reason IS NULL",
+        "stages_invalid": f"{good} SELECT row_id, reason FROM ({s_invalid('g')}) WHERE reason IS NOT NULL",
+        "stage_counts": f"""{good}, v AS ({s_invalid('g')}), t AS ({S_TRIMMED}), c AS (SELECT CAST(row_id AS VARCHAR) AS id, 'text' AS k, text AS o, {s_slang('text')} AS n FROM t WHERE reason IS NULL
+            UNION ALL SELECT CAST(t.row_id AS VARCHAR), 'source', d.source, {s_slang('d.source')} FROM t JOIN dump d ON t.row_id = d.row_id WHERE reason IS NULL)
+            SELECT 'processed' AS stage, count(*) AS rows FROM dump UNION ALL SELECT 'good', count(*) FROM t WHERE reason IS NULL UNION ALL SELECT 'bad', count(reason) FROM t
+            UNION ALL SELECT 'changes', count(*) FROM c WHERE o IS DISTINCT FROM n UNION ALL SELECT 'resampled', count(*) FROM g
+            UNION ALL SELECT 'done', count(*) FROM v WHERE reason IS NULL UNION ALL SELECT 'invalid', count(reason) FROM v""",
+        "unique_counts": f"WITH u AS (SELECT DISTINCT m[-1] FROM (SELECT {S_MESSAGES} AS m FROM dump WHERE text IS NOT NULL) WHERE len(m) > 0), n AS (SELECT (SELECT count(*) FROM dump) AS p, (SELECT count(*) FROM u) AS k) SELECT p AS processed, k AS kept, p - k AS removed FROM n",
+        "message_counts": f"WITH n AS (SELECT (SELECT count(*) FROM filter_me) AS p, (SELECT count(*) FROM ({s_messages(False)})) AS k) SELECT p AS processed, k AS kept, p - k AS removed FROM n",
+        "too_long": f"SELECT row_id, CASE WHEN reason IS NULL AND {tokens} > {LONGEST} THEN 'TOO_LONG' ELSE reason END AS reason FROM ({S_TRIMMED})",
+        "csv_round_trip": "SELECT CAST(row_id AS VARCHAR) AS row_id, text, source FROM dump WHERE text IS NOT NULL",
+        "shards_round_trip": """SELECT CAST(row_id AS VARCHAR) AS row_id, text, NULL AS source FROM done UNION ALL SELECT CAST(row_id AS VARCHAR), NULL, source FROM resampled
+            UNION ALL SELECT CAST(row_id AS VARCHAR), NULL, source FROM dump""",
+        "code_like_lines": msg(f"len({s_keep(s_lines('content'), s_code_line, 'cl')})"),
+        **{f"reject_{label.lower()}": s_one_reason(label) for label in TRIGGERS},
         "token_len": one(tokens, "documents", "doc_id"),
         "resample": f"SELECT row_id, CAST({tokens} AS INTEGER) AS tokens FROM dump WHERE text IS NOT NULL",
         "resample_top": f"SELECT row_id, CAST({tokens} AS INTEGER) AS tokens FROM dump WHERE text IS NOT NULL ORDER BY 2 DESC, 1 LIMIT 200",

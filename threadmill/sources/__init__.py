@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from pathlib import PurePosixPath
 
 from pyspark.sql import DataFrame, SparkSession
@@ -40,6 +41,30 @@ def list_shards(spark: SparkSession, path: str) -> list[str]:
     return shards
 
 
+def first_lines(spark: SparkSession, paths: list[str], threads: int = 32) -> list[str]:
+    """First line of each file, or of a folder's first file; one short read each."""
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+
+    def first(path: str) -> str:
+        where = jvm.org.apache.hadoop.fs.Path(path)
+        fs = where.getFileSystem(conf)
+        if fs.getFileStatus(where).isDirectory():
+            parts = sorted((str(f.getPath()) for f in fs.listStatus(where) if f.isFile() and f.getPath().getName()[0] not in "._"))
+            if not parts:
+                return ""
+            where = jvm.org.apache.hadoop.fs.Path(parts[0])
+        stream = fs.open(where)
+        try:
+            return jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(stream, "UTF-8")).readLine() or ""
+        finally:
+            stream.close()
+
+    if len(paths) < 2:
+        return [""] * len(paths)
+    with ThreadPoolExecutor(threads) as pool:
+        return list(pool.map(first, paths))
+
+
 def read_shards(spark: SparkSession, path: str, **csv: str) -> DataFrame:
     """One frame over all shards of a file or directory; columns are matched by name, missing ones are NULL."""
     shards = list_shards(spark, path)
@@ -47,7 +72,11 @@ def read_shards(spark: SparkSession, path: str, **csv: str) -> DataFrame:
     if len(parquet) + len(texts) < len(shards):
         raise ValueError(f"unsupported suffix: {path}")
     parts = [spark.read.option("mergeSchema", True).parquet(*parquet)] if parquet else []
-    parts += [read_csv(spark, s, **csv) for s in texts]
+    # one scan per distinct header: the plan doesn't grow with the number of shards
+    headers: dict[str, list[str]] = {}
+    for s, head in zip(texts, first_lines(spark, texts)):
+        headers.setdefault(head, []).append(s)
+    parts += [read_csv(spark, own, **csv) for own in headers.values()]
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p, allowMissingColumns=True)
@@ -60,7 +89,9 @@ def read_table(spark: SparkSession, name: str) -> DataFrame:
 
 def write_csv(df: DataFrame, path: str, sep: str = ",", quote: str = '"') -> None:
     """Header and minimal quoting; the committer moves finished files into place, so no half-written output is visible."""
-    df.write.mode("overwrite").option("header", True).option("sep", sep).option("quote", quote).option("escape", quote).option("emptyValue", "").csv(path)
+    own = df.write.mode("overwrite").option("header", True).option("sep", sep).option("quote", quote).option("escape", quote).option("emptyValue", "")
+    # the writer would strip white space at both ends of a field
+    own.option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path)
 
 
 def write_parquet(df: DataFrame, path: str) -> None:

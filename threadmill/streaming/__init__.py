@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import chatml
+from ..functions import chatml, text
+from ..operators.clean import pinned
 from ..operators.messages import clean_content
 from ..operators.redelivery import identifier
 
@@ -22,8 +23,10 @@ def new_chains(stream: DataFrame, col: str, time: str, delay: str = "1 hour") ->
 
 
 def cleaned_messages(stream: DataFrame, delay: str = "1 hour") -> DataFrame:
-    """The message filter on a stream: bots and empty contents out, content cleaned, one row per id within the delay."""
-    own = stream.where(~F.col("author_bot").eqNullSafe(True) & F.col("content").isNotNull()).withColumn("content", clean_content("content"))
+    """The message filter on a stream: bots, empty contents and contents without a word out, content cleaned, one row per id
+    within the delay."""
+    own = stream.where(~F.col("author_bot").eqNullSafe(True) & F.col("content").isNotNull() & text.has_word("content", text.STOP_WORDS))
+    own = pinned(own, content=clean_content("content"))
     own = first_deliveries(own.where(F.trim("content") != ""), delay=delay)
     return own.where(F.col("guild_id").isNotNull())
 
