@@ -39,6 +39,11 @@ def _greatest(a: Column, b: Column) -> Column:
     return F.greatest(a, b)  # ignores NULL
 
 
+def _repeats(path: str) -> Column:
+    """Whether a path has come round to its first node: it leads into a circle and needn't grow on."""
+    return F.array_contains(F.slice(path, F.lit(2), F.greatest(F.size(path) - 1, F.lit(0))), F.element_at(path, 1))
+
+
 def resolve(nodes: DataFrame, spec: Spec | None = None, scratch: Scratch | None = None) -> DataFrame:
     """``nodes``: unique ``id``, ``parent`` (NULL: none), and the columns named in ``spec``.
 
@@ -75,7 +80,7 @@ def resolve(nodes: DataFrame, spec: Spec | None = None, scratch: Scratch | None
             *spec.keep,
             *[F.when(hit, F.col(f"up_{c}")).otherwise(F.col(c)).alias(c) for c in tops],
             *[_greatest(F.col(c), F.col(f"up_{c}")).alias(c) for c in peaks],
-            *([F.when(hit, F.concat("up_path", "path")).otherwise(F.col("path")).alias("path")] if spec.path else []),
+            *([F.when(hit & ~_repeats("path"), F.concat("up_path", "path")).otherwise(F.col("path")).alias("path")] if spec.path else []),
             (~hit | F.col("at_root") if known else ~hit).alias("at_root"),
         )
         step, step_path = scratch.put(moved)
