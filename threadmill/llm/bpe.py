@@ -18,6 +18,8 @@ from pyspark.sql import functions as F
 TOKENIZERS = os.environ.get("THREADMILL_TOKENIZERS", "/opt/tokenizers")
 BYTE_BPE = "byte_bpe_50k.json"
 #: Pieces that a worker remembers. Beyond that number new pieces are encoded each time they occur.
+#: Pairs of tokens whose compatibility a worker remembers.
+KNOWN_PAIRS = 1 << 20
 KNOWN_PIECES = 1 << 19
 
 
@@ -82,7 +84,9 @@ class Bpe:
     def compatible(self, left: int, right: int) -> bool:
         known = self.fits.get((left, right))
         if known is None:
-            known = self.fits[left, right] = self._compatible(left, right)
+            known = self._compatible(left, right)
+            if len(self.fits) < KNOWN_PAIRS:
+                self.fits[left, right] = known
         return known
 
     def _compatible(self, left: int, right: int) -> bool:

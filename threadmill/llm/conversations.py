@@ -32,14 +32,16 @@ def message_nodes(df: DataFrame, scratch: Scratch) -> DataFrame:
     return nodes.withColumn("is_top", F.col("parent").isNull())
 
 
-def members(nodes: DataFrame, scratch: Scratch) -> DataFrame:
+SPEC = hierarchy.Spec(top=["author", "is_top"], peak=["sent"], keep=["author", "solid"])
+
+
+def members(nodes: DataFrame, found: DataFrame) -> DataFrame:
     """``conv_id, message_id, depth, sent, role, solid`` of every message whose chain ends at one without reference.
 
     Pointer doubling carries the root's author down and the latest time along the chain up to the message, which is the
     time a message counts with. Chains that end at a missing message or in a circle are left out.
     """
-    spec = hierarchy.Spec(top=["author", "is_top"], peak=["sent"], keep=["author", "solid"])
-    below = hierarchy.resolve(nodes, spec, scratch).where("top_is_top")
+    below = found.where("top_is_top")
     same = F.coalesce(F.col("author") == F.col("top_author"), F.lit(False))
     answers = below.select(
         F.col("root").alias("conv_id"),
@@ -64,7 +66,8 @@ def conversations(df: DataFrame) -> DataFrame:
     conversation, so one with a third of all rows needs no task of its own. An empty table gives an empty result.
     """
     scratch = Scratch(df.sparkSession, "conversations")
-    turns = members(message_nodes(df, scratch), scratch).where("solid").withColumn("number", F.expr("try_cast(message_id AS decimal(38,0))"))
+    nodes = message_nodes(df, scratch)
+    turns = members(nodes, hierarchy.resolve(nodes, SPEC, scratch)).where("solid").withColumn("number", F.expr("try_cast(message_id AS decimal(38,0))"))
     order = [F.col("sent").asc_nulls_first(), F.col("depth").asc(), F.col("number").asc_nulls_last(), F.col("message_id").asc()]
     totals = {"has_user": F.max(F.col("role") == "user"), "has_assistant": F.max(F.col("role") == "assistant")}
     ranked = ranking.positions(turns, "conv_id", order, totals=totals, keep=F.col("has_user") & F.col("has_assistant"), scratch=scratch)
@@ -77,11 +80,11 @@ def left_out(df: DataFrame) -> DataFrame:
     conversation lacks a role)."""
     scratch = Scratch(df.sparkSession, "conversations")
     nodes = message_nodes(df, scratch)
-    found = hierarchy.resolve(nodes, hierarchy.Spec(top=["is_top"]), scratch)
+    found = hierarchy.resolve(nodes, SPEC, scratch)
     lost = found.where("root IS NULL OR NOT top_is_top").select(F.when(F.col("root").isNull(), F.lit("circle")).otherwise(F.lit("missing")).alias("cause"))
     # Messages whose own reference is missing are roots to the hierarchy; they carry a reference all the same.
     heads = nodes.where("NOT is_top").join(found.select("id"), "id", "left_anti").select(F.lit("missing").alias("cause"))
-    all_ = members(nodes, scratch)
+    all_ = members(nodes, found)
     blank = all_.where("NOT solid").select(F.lit("blank").alias("cause"))
     sides = all_.where("solid").groupBy("conv_id").agg(F.count("*").alias("n"), F.count_if(F.col("role") == "user").alias("u"))
     one = sides.where("u = 0 OR u = n").agg(F.sum("n").alias("messages")).select(F.lit("one_sided").alias("cause"), F.coalesce("messages", F.lit(0)).alias("messages"))

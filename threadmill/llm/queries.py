@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..operators.durable import spread
 from ..operators.redelivery import keep_first
+from ..plans.queries import s_found, s_strip
 from . import abuse, bpe, conversations, formatdup, language, mix, pairs, pii
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -68,5 +69,19 @@ def queries() -> dict[str, Query]:
     }
 
 
+def s_turns() -> str:
+    """The turns of p2_found by recursion over the kept copies."""
+    name, parent, author = (f"nullif({s_strip(c)}, '')" for c in ("message_id", "message_reference_message_id", "author_id"))
+    return f"""WITH RECURSIVE ids AS (SELECT {name} AS id, {parent} AS parent, {author} AS author, content, "timestamp" AS ts, delivery_id FROM filter_me),
+      ranked AS (SELECT *, row_number() OVER (PARTITION BY id ORDER BY ts ASC NULLS LAST, delivery_id) AS rn FROM ids WHERE id IS NOT NULL),
+      kept AS (SELECT id, parent, author, ts, content IS NOT NULL AND NOT {s_found("content", conversations.BLANK)} AS solid FROM ranked WHERE rn = 1),
+      tree AS (SELECT id, id AS root, 0 AS depth, ts AS sent, author AS top, 'user' AS role, solid FROM kept WHERE parent IS NULL
+        UNION ALL SELECT k.id, t.root, t.depth + 1, CASE WHEN t.sent IS NULL OR k.ts > t.sent THEN coalesce(k.ts, t.sent) ELSE t.sent END, t.top,
+          CASE WHEN k.author = t.top THEN 'user' ELSE 'assistant' END, k.solid FROM kept k JOIN tree t ON k.parent = t.id),
+      turns AS (SELECT *, row_number() OVER (PARTITION BY root ORDER BY sent ASC NULLS FIRST, depth, try_cast(id AS HUGEINT) ASC NULLS LAST, id) AS n,
+        count(*) FILTER (role = 'user') OVER (PARTITION BY root) AS users, count(*) OVER (PARTITION BY root) AS all_turns FROM tree WHERE solid)
+      SELECT root AS conv_id, CAST(n AS INTEGER) AS turn_no, id AS message_id, role FROM turns WHERE users > 0 AND users < all_turns"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"p2_found": s_turns()}
