@@ -40,6 +40,11 @@ def rows(df, *cols):
         ("we lost 13 rounds in a row, level 44 of Crimson Road, the street in level 26", []),
         ("Mrs. Yarrow met Anna Blum; signed, BLUM, Anna", ["name"] * 3),
         ("my name is elif umbrick by the way", ["name"]),
+        ("ich heiße elif umbrick, sie heißt Petra Umbrick", ["name", "name"]),
+        ("we spoke with Orrin Vask yesterday. Regards, Ivo Pell", ["name", "name"]),
+        ("the lobby is called Iron Lark, ask for help", []),
+        ("my pesel is 44051401359, cpf 529.982.247-25, bsn 111222333, personnummer 811218-9876", ["idnum"] * 4),
+        ("the card counts 44051401358 points and the seed 111222334", []),
         ("Hey Anna, my main is Iron Lark, passport quest 55", []),
         ("", []),
         ("<@123456789012> https://x.example/1234567890", []),

@@ -84,6 +84,30 @@ def mod23(digits: str, letter: str) -> bool:
     return "TRWAGMYFPDXBNJZSQVHLCKE"[int(digits) % 23] == letter.upper()
 
 
+def weighted(digits: str, weights: list[int], modulus: int) -> int:
+    return sum(int(d) * w for d, w in zip(digits, weights)) % modulus
+
+
+def pesel(digits: str) -> bool:
+    """Polish number: weighted sum with the last digit as its complement to 10."""
+    return weighted(digits, [1, 3, 7, 9, 1, 3, 7, 9, 1, 3, 1], 10) == 0
+
+
+def bsn(digits: str) -> bool:
+    """Dutch number: eleven test."""
+    return weighted(digits, [9, 8, 7, 6, 5, 4, 3, 2, -1], 11) == 0 and digits.strip("0") != ""
+
+
+def cpf(digits: str) -> bool:
+    """Brazilian number: two check digits modulo 11."""
+    check = lambda n: weighted(digits, list(range(n + 1, 1, -1)), 11)
+    return all(int(digits[n]) == (0 if check(n) < 2 else 11 - check(n)) for n in (9, 10))
+
+
+#: Validators of identity numbers without a label.
+CHECKS = {"pesel": pesel, "bsn": bsn, "cpf": cpf, "personnummer": luhn}
+
+
 def american(digits: str) -> bool:
     """Ten digits, or eleven with a leading 1, by the North American plan."""
     d = digits[1:] if len(digits) == 11 and digits[0] == "1" else digits
@@ -108,8 +132,8 @@ PHONE_NEAR = re.compile(
 )
 NOT_PHONE_NEAR = re.compile(r"\b(?:seed|order|error|code|build|grid|version|score|port|ticket|level|resolution|coins?|points?|patch|serial|isbn|id|hash|commit|starts)\b", _I)
 
-_PHONE_AFTER = re.compile(r"<-|\bwhatsapp\b|after six|outside", _I)
-_NUMBER_AFTER = re.compile(r" *(?:is the|if you want|coins|points)")
+_PHONE_AFTER = re.compile(r"\b(?:whatsapp|signal|telegram|mobile|cell|home|work)\b", _I)
+_NUMBER_AFTER = re.compile(r" *(?:coins|points|votes|euros?|dollars|percent|%)")
 _DATE = re.compile(r"\d{1,2}[-./]\d{1,2}[-./]\d{2,4}|\d{4}[-./]\d{1,2}[-./]\d{1,2}")
 
 _NO = r"(?:\s*(?:no|nr|num|number|nummer|núm|numéro|número|n°|nº|#)\.?)?\s*(?:is|ist|est|es|:|=|\-)?\s*"
@@ -117,7 +141,7 @@ _CODE = r"([A-Z0-9](?:[A-Z0-9]|[ \-/.](?=[A-Z0-9]*\d)){4,22}[A-Z0-9])(?![A-Z0-9]
 ID_LABELLED = re.compile(
     r"(?<!\w)(?:passport|reisepass|pass(?=\s*(?:nr|no|nummer))|passeport|pasaporte|passaporte|passaporto|paspoort|id\s?card|identity\s+card|personalausweis|ausweis|carte\s+d'identité|carta\s+d'identità|"
     r"documento\s+de\s+identidad|cédula|driver'?s?\s+licen[cs]e|driving\s+licen[cs]e|führerschein|permis\s+de\s+conduire|carnet\s+de\s+conducir|permiso\s+de\s+conducir|licen[cs]e|"
-    r"ssn|social\s+security|sozialversicherungs?(?:nummer)?|numéro\s+de\s+sécurité\s+sociale|sécurité\s+sociale|seguridad\s+social|national\s+insurance|nino|dni|nie|nif|cpf|bsn|pesel)"
+    r"ssn|social\s+security|sozialversicherungs?(?:nummer)?|numéro\s+de\s+sécurité\s+sociale|sécurité\s+sociale|seguridad\s+social|national\s+insurance|nino|dni|nie|nif|cpf|bsn|pesel|personnummer)"
     rf"{_NO}(?:card\s*)?(?:number\s*)?:?\s*{_CODE}",
     _I,
 )
@@ -125,6 +149,10 @@ ID_PLAIN = (
     ("ssn", re.compile(r"(?<![\w.-])\d{3}-\d{2}-\d{4}(?![\w-])")),
     ("nino", re.compile(r"(?<!\w)[A-Z]{2} ?\d{2} ?\d{2} ?\d{2} ?[A-D](?!\w)", _I)),
     ("dni", re.compile(r"(?<!\w)(\d{8})-?([A-Z])(?!\w)", _I)),
+    ("pesel", re.compile(r"(?<![\w.-])\d{11}(?![\w-])")),
+    ("bsn", re.compile(r"(?<![\w.-])\d{9}(?![\w-])")),
+    ("cpf", re.compile(r"(?<![\w.-])\d{3}\.\d{3}\.\d{3}-\d{2}(?![\w-])")),
+    ("personnummer", re.compile(r"(?<![\w.-])\d{6}[-+]\d{4}(?![\w-])")),
     ("nir", re.compile(r"(?<![\w.-])[12] ?\d{2} ?(?:0[1-9]|1[0-2]|[2-9]\d) ?\d{2} ?\d{3} ?\d{3}(?: ?(\d{2}))?(?![\w-])")),
 )
 
@@ -144,7 +172,7 @@ ADDRESS_NEAR = re.compile(
 )
 #: The rest of an address: flat, town, postcode.
 ADDRESS_REST = re.compile(
-    rf"(?:,? ?(?:apt|apartment|flat|suite|unit|etg|stock)\.? ?\w{{1,4}})?(?:,? ?\d{{1,2}} ?[º°ª](?: ?[A-Z])?)?(?:(?:, ?|\n| in |,? )(?:\d{{4,5}} )?(?:{_CAP})(?: (?!QX|[A-Z]{{1,2}}\d){_CAP}){{0,2}})?(?:,? [A-Z]{{1,2}}\d[A-Z\d]? ?\d[A-Z]{{2}}\b)?",
+    rf"(?:,? ?(?:apt|apartment|flat|suite|unit|etg|stock)\.? ?\w{{1,4}})?(?:,? ?\d{{1,2}} ?[º°ª](?: ?[A-Z])?)?(?:(?:, ?|\n| in |,? )(?:\d{{4,5}} )?(?:{_CAP})(?: (?![A-Z]{{1,2}}\d){_CAP}){{0,2}})?(?:,? [A-Z]{{1,2}}\d[A-Z\d]? ?\d[A-Z]{{2}}\b)?",
 )
 _COMMON = frozenset(
     """minutes minute seconds hours hour days day weeks week months years people coins rounds percent attempts rows times more
@@ -163,15 +191,15 @@ _GIVEN_SET = frozenset(GIVEN)
 _STREET_WORD = re.compile(rf"(?:{STREETS})", _I)
 TWO_NAMES = re.compile(rf"(?<![\w@.'-])({_PART})[ ]((?:[A-Z]\.?[ ]|{_PART}[ ])?)({_PART})(?![\w@])")
 TURNED = re.compile(rf"(?<![\w@.'-])({_PART}),[ ]({_PART})(?:[ ][A-Z]\.)?(?![\w@])")
-#: Phrases around a name; what stands between needn't be capitalised.
-_SAID = (
-    (r"my (?:real |full )?name is ", r"(?: by the way)?"), (r"je m'appelle ", ""), (r"me llamo ", ""), (r"ich heiße ", ""), (r"mein name ist ", ""),
-    (r"mi nombre es ", ""), (r"mi chiamo ", ""), (r"(?:o )?meu nome é ", ""), (r"меня зовут ", ""), (r"nazywam się ", ""), (r"jag heter ", ""), (r"ik heet ", ""),
-    (r"mein chef heißt ", ""), (r"hablé con ", r"(?: sobre)?"), (r"ask for ", r"(?= at the )"), (r"(?<!\w)is ", r"(?= still your)"), (r"the parcel says ", r"(?= on it)"),
-    (r"it's ", r"(?= here)"), (r"signed,? ", ""), (r"in class with ", ""), (r"(?:^|\s)", r"(?= told me the same)"), (r"regards,? ", ""),
+#: Cues of a name: introductions, relations, greetings at the end, people spoken to; what follows needn't be capitalised.
+_CUES = (
+    r"my (?:real |full )?name is", r"je m'appelle", r"me llamo", r"ich heiße", r"mein name ist", r"mi nombre es", r"mi chiamo", r"(?:o )?meu nome é", r"меня зовут", r"nazywam się",
+    r"jag heter", r"ik heet", r"heißt", r"s'appelle", r"se llama", r"si chiama", r"se chama", r"зовут", r"nazywa się", r"heter", r"heet",
+    r"signed,?", r"regards,?", r"sincerely,?", r"yours,?", r"grüße,?", r"gruß,?", r"cordialement,?", r"saludos,?", r"saluti,?", r"groeten,?", r"hälsningar,?",
+    r"ask for", r"contact", r"(?:spoke|talked|speak|talk) (?:to|with)", r"gesprochen mit", r"parlé (?:à|avec)", r"hablé con", r"parlato con", r"falei com",
 )
-NAME_SAID = [re.compile(rf"{a}(?P<name>{_ANYCASE}(?:,? (?:[a-z]\. )?{_ANYCASE})(?:-{_ANYCASE})?){b}", _I) for a, b in _SAID]
-_SAID_ANY = re.compile(r"name is|m'appelle|me llamo|ich heiße|name ist|nombre es|mi chiamo|nome é|меня зовут|nazywam|jag heter|ik heet|chef heißt|hablé con|ask for|still your|parcel says|it's .{3,40} here|signed|class with|told me the same|regards", _I)
+NAME_SAID = re.compile(rf"(?<!\w)(?:{'|'.join(_CUES)}) (?P<name>{_ANYCASE}(?:,? (?:[a-z]\. )?{_ANYCASE})(?:-{_ANYCASE})?)", _I)
+_CUE_BEFORE = re.compile(rf"(?:{'|'.join(_CUES)}|\bis|it's)\s*$", _I)
 _NAME_STOP = frozenset(
     """the a an and or but so i you he she it we they my your our their his her this that not no yes in on at to of for from with
     is are was were be been still also hey well okay oui si ja na ne der die das den le la les el los las un une der ein eine
@@ -254,12 +282,14 @@ def _ids(t: str) -> Iterator[tuple[int, int, str, float]]:
     for name, p in ID_PLAIN:
         for m in p.finditer(t):
             before, after = _near(t, m.start(), m.end())
-            score = {"ssn": 1.4, "nino": 1.4, "dni": 0.8, "nir": 0.6}[name]
+            score = {"ssn": 1.4, "nino": 1.4, "dni": 0.8, "nir": 0.6}.get(name, 0.2)
+            if name in CHECKS:
+                score += 0.5 if CHECKS[name](re.sub(r"\D", "", m[0])) else -0.5
             if name == "dni":
                 score += 0.6 if mod23(m[1], m[2]) else -0.2
             if name == "nir" and m[1]:
                 score += 1.0 if mod97(int(re.sub(r"\D", "", m[0])[:13]), int(m[1])) else -0.3
-            if re.search(r"\b(?:id|ssn|number|nr|no|dni|insurance|social|licen[cs]e|verify|form|typed|mine|post|by hand|wrote)\b", before + " " + after, _I):
+            if re.search(r"\b(?:id|ssn|number|nr|no|dni|nie|pesel|bsn|cpf|personnummer|insurance|social|licen[cs]e|passport|identity|document|card|verify)\b", before + " " + after, _I):
                 score += 0.5
             if NOT_PHONE_NEAR.search(before) and not re.search(r"\bid\b", before, _I):
                 score -= 0.8
@@ -321,7 +351,7 @@ def _names(t: str) -> Iterator[tuple[int, int, str, float]]:
     for m in TITLED_LOW.finditer(t):
         if m[1].lower() not in _NAME_STOP:
             before, after = _near(t, m.start(), m.end())
-            said = re.search(r"(?:name is|appelle|llamo|heißt|con|ask for|\bis|says|it's|signed,?|with)\s*$", before, _I) or re.match(r" told me the same", after)
+            said = _CUE_BEFORE.search(before)
             line = (m.start() == 0 or t[m.start() - 1] == "\n") and after[:1] in ("\n", "")
             yield m.start(), m.end(), "name", 1.4 if said or line else 0.6
     for m in TWO_NAMES.finditer(t):
@@ -334,14 +364,6 @@ def _names(t: str) -> Iterator[tuple[int, int, str, float]]:
     for m in TURNED.finditer(t):
         if _given(m[2]) and _name_like(m[2], m[1]) and not _given(m[1]):
             yield m.start(), m.end(), "name", 1.7
-    for p in NAME_SAID if _SAID_ANY.search(t) else ():
-        for m in p.finditer(t):
-            words = re.findall(_ANYCASE, m["name"])
-            if len(words) >= 2 and all(w.lower() not in _NAME_STOP for w in words):
-                given = _given(words[0]) or _given(words[-1])
-                caps = all(w[0].isupper() for w in words)
-                score = 1.0 + 0.8 * given + 0.4 * caps - (0.3 if not given and not caps else 0)
-                yield m.start("name"), m.end("name"), "name", score
     # A line of its own above an address or contact line.
     for m in _LINE_NAME.finditer(t) if "\n" in t else ():
         words = re.findall(_ANYCASE, m[1])
@@ -349,6 +371,16 @@ def _names(t: str) -> Iterator[tuple[int, int, str, float]]:
             yield m.start(1), m.end(1), "name", 1.8
 
 
+def _said_names(t: str) -> Iterator[tuple[int, int, str, float]]:
+    for m in NAME_SAID.finditer(t):
+        words = re.findall(_ANYCASE, m["name"])
+        if len(words) >= 2 and all(w.lower() not in _NAME_STOP for w in words):
+            given = _given(words[0]) or _given(words[-1])
+            caps = all(w[0].isupper() for w in words)
+            score = 1.0 + 0.8 * given + 0.4 * caps - (0.3 if not given and not caps else 0)
+            yield m.start("name"), m.end("name"), "name", score
+
+
 #: Identifiers of the chat system and links: their digits are nobody's number.
 _OTHER = re.compile(r"<(?:@[!&]?|#|a?:\w+:)\d+>|https?://\S+")
 _WORD = re.compile(r"[^\W\d_]+")
@@ -358,8 +390,9 @@ _LONG_NUMBER = re.compile(r"\d(?:[^\w\n]{0,3}\d){4}|\d{2}[\w.-]{3}")
 _AT_WORDS = frozenset("at ät arroba chiocciola arobase".split())
 _DOT_WORDS = frozenset("dot punkt punto point ponto punt".split())
 # Words and phrases of which at least one is in every text that the patterns of a kind could match.
-_NAME_WORDS = _GIVEN_SET | set(TITLES.split("|")) | set("appelle llamo heiße heißt nombre chiamo nome зовут nazywam heter heet hablé parcel signed regards".split())
-_NAME_PHRASES = ("name is", "name ist", "ask for", "still your", " here", "class with", "told me the same")
+_CUE_WORDS = frozenset("""name appelle llamo heiße heißt nombre chiamo nome зовут nazywam nazywa heter heet llama chiama chama signed regards sincerely yours grüße gruß
+cordialement saludos saluti groeten hälsningar ask contact spoke talked speak talk gesprochen parlé hablé parlato falei""".split())
+_NAME_WORDS = _GIVEN_SET | set(TITLES.split("|"))
 _TAILS = tuple(f"{w}{end}" for w in STREETS_TAIL.split("|") for end in (" ", ". "))
 _FRONT_WORDS = frozenset(STREETS_FRONT.split("|"))
 _BOX_PARTS = ("box", "postfach", "postbus", "apartado", "apdo", "postal", "postboks")
@@ -407,8 +440,10 @@ def find(text: str) -> list[tuple[int, int, str]]:
             spans += [(s, a, b, k) for a, b, k, s in _addresses(t, forms)]
     if said:
         spans += [(2.0, m.start(), m.end(), "phone") for m in PHONE_SAID.finditer(t)]
-    if not words.isdisjoint(_NAME_WORDS) or any(p in low for p in _NAME_PHRASES):
+    if not words.isdisjoint(_NAME_WORDS):
         spans += [(s, a, b, k) for a, b, k, s in _names(t)]
+    if not words.isdisjoint(_CUE_WORDS):
+        spans += [(s, a, b, k) for a, b, k, s in _said_names(t)]
     spans = [s for s in spans if s[0] >= CUTOFF]
     if not spans:
         return []
