@@ -19,7 +19,7 @@ def msg(n, i, content="hello world", t=0, guild="g", bot=False, ref=None):
 
 
 def rows(df, *cols):
-    return sorted(tuple(r[c] for c in cols) for r in df.collect())
+    return sorted((tuple(r[c] for c in cols) for r in df.collect()), key=str)
 
 
 def test_filter_messages(spark):
@@ -259,3 +259,50 @@ def test_risk_filter_handles_nulls_and_odd_columns(spark):
     red = {r[1]: r[0] for r in risk.risk_filter(df, action="redact").collect()}
     assert red[1] is None and red[2] == "" and "k1ds" not in red[3] and red[5] == "[REDACTED]"
     assert risk.risk_filter(df.limit(0)).count() == 0
+
+
+def test_hot_parents_are_looked_up_without_a_shuffle(spark, monkeypatch):
+    nodes = [(f"n{i}", None if i == 0 else "n0" if i % 3 else f"n{i - 1}") for i in range(400)] + [("x", "y"), ("y", "x"), ("z", "x"), ("q", "gone")]
+    df = spark.createDataFrame(nodes, "id string, parent string")
+    want = rows(hierarchy.hierarchy(df), "id", "root", "depth", "path")
+    monkeypatch.setattr(hierarchy, "HOT_FROM", 0)
+    monkeypatch.setattr(hierarchy, "HOT", 8)
+    assert rows(hierarchy.hierarchy(df), "id", "root", "depth", "path") == want
+
+
+def test_tables_and_counts(spark):
+    df = spark.createDataFrame([(1, "<|im_start|>user\na<|im_end|><|end_of_text|>"), (2, None)], "row_id long, text string")
+    sources.save_table(df, "kept_chats")
+    assert rows(sources.read_table(spark, "kept_chats"), "row_id", "text") == rows(df, "row_id", "text")
+    assert rows(clean.kept_counts(df, clean.dedupe_chats(df)), "processed", "kept", "removed") == [(2, 1, 1)]
+    stages = {r["stage"]: r["rows"] for r in clean.stage_counts(df, clean.four_stages(df, max_tokens=3)).collect()}
+    assert stages["processed"] == 2 and stages["good"] + stages["bad"] == 1 and stages["bad"] == 1
+
+
+def test_new_messages_with_a_repeated_store(spark):
+    stored = spark.createDataFrame([(1, "a", None)] * 5 + [(2, None, None)], "n long, id string, t timestamp")
+    batch = spark.createDataFrame([(3, " a ", None), (4, "b", None), (5, "b", T0), (6, None, T0)], "n long, id string, t timestamp")
+    assert rows(redelivery.new_messages(batch, stored, "id", "t", "n"), "id", "n") == [("b", 5)]
+
+
+def test_shared_folder_is_needed_on_a_cluster(monkeypatch):
+    from threadmill.operators import durable
+
+    class Context:
+        master = "spark://host:7077"
+
+        class _jsc:
+            @staticmethod
+            def sc():
+                return type("C", (), {"getCheckpointDir": staticmethod(lambda: type("O", (), {"isDefined": staticmethod(lambda: False)}))})
+
+    class Session:
+        sparkContext = Context
+
+        class conf:
+            @staticmethod
+            def get(*_):
+                return None
+
+    with pytest.raises(RuntimeError):
+        durable.shared_folder(Session)

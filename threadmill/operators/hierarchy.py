@@ -8,7 +8,7 @@ them.
 
 Each round is one shuffle join over what is unresolved, written to the shared folder, and the looked-up side shrinks to
 the nodes that the previous round pointed to. A node with a third of all rows below it is a hot key only on the probing
-side, which adaptive execution splits.
+side; ``look_up`` keeps its rows where they are.
 """
 
 from __future__ import annotations
@@ -39,6 +39,29 @@ def _greatest(a: Column, b: Column) -> Column:
     return F.greatest(a, b)  # ignores NULL
 
 
+#: A pointer is hot if it has more than one in ``HOT`` of the rows, so there are fewer than ``HOT`` of them. Looked for from
+#: ``HOT_FROM`` rows on: below, one task can hold any share of them.
+HOT, HOT_FROM = 64, 1_000_000
+
+
+def look_up(probe: DataFrame, table: DataFrame, key: str, at: str, n: int, how: str) -> DataFrame:
+    """``probe`` (about ``n`` rows) with the row of ``table`` whose unique ``at`` equals ``key``.
+
+    Rows of hot keys never meet in one task: the fewer than ``HOT`` rows of ``table`` that they look up are broadcast, the
+    rest is a shuffle join."""
+
+    def join(left: DataFrame, right: DataFrame) -> DataFrame:
+        return left.join(right, key, how) if key == at else left.join(right, left[key] == right[at], how)
+
+    if n < HOT_FROM:
+        return join(probe, table)
+    hot = [r[0] for r in probe.groupBy(key).agg(F.count("*").alias("n")).where(F.col("n") > n // HOT).select(key).collect()]
+    if not hot:
+        return join(probe, table)
+    is_hot = F.coalesce(F.col(key).isin(hot), F.lit(False))
+    return join(probe.where(~is_hot), table).unionByName(join(probe.where(is_hot), F.broadcast(table.where(F.col(at).isin(hot)))))
+
+
 def _repeats(path: str) -> Column:
     """Whether a path has come round to its first node: it leads into a circle and needn't grow on."""
     return F.array_contains(F.slice(path, F.lit(2), F.greatest(F.size(path) - 1, F.lit(0))), F.element_at(path, 1))
@@ -59,7 +82,7 @@ def resolve(nodes: DataFrame, spec: Spec | None = None, scratch: Scratch | None
 
     child = nodes.where("parent IS NOT NULL").select("id", F.col("parent").alias("ptr"), *[F.col(c).alias(f"own_{c}") for c in spec.peak], *spec.keep)
     above = nodes.select(F.col("id").alias("ptr"), *[F.col(c).alias(f"top_{c}") for c in spec.top], *[F.col(c).alias(f"above_{c}") for c in spec.peak])
-    links = child.join(above, "ptr").select(
+    links = look_up(child, above, "ptr", "ptr", nodes.count(), "inner").select(
         "id", "ptr", F.lit(1).alias("dist"), *spec.keep, *tops,
         *[_greatest(F.col(f"own_{c}"), F.col(f"above_{c}")).alias(f"peak_{c}") for c in spec.peak],
         *([F.array("ptr").alias("path")] if spec.path else []),
@@ -71,7 +94,7 @@ def resolve(nodes: DataFrame, spec: Spec | None = None, scratch: Scratch | None
     while n:
         known = "at_root" in look.columns
         up = look.select(F.col("id").alias("at"), *[F.col(c).alias(f"up_{c}") for c in carried], *(["at_root"] if "at_root" in look.columns else []))
-        j = open_.join(up, open_["ptr"] == up["at"], "left")
+        j = look_up(open_, up, "ptr", "at", n, "left")
         hit = F.col("at").isNotNull()
         moved = j.select(
             "id",
