@@ -19,6 +19,15 @@ from . import bpe
 SEED = 7
 
 
+#: Listed sources up to which a table of them is broadcast.
+BROADCAST = 10_000
+
+
+def listed(table: DataFrame) -> DataFrame:
+    """A table with one row per listed source: broadcast if its rows are as few as they should be."""
+    return F.broadcast(table) if table.limit(BROADCAST + 1).count() <= BROADCAST else table
+
+
 def quality(tokens: Column, text: Column) -> Column:
     """Weight of a text in (0, 1]: its share of letters, and less for very short texts."""
     letters = F.regexp_count(text, F.lit(r"\p{L}")) / F.greatest(F.length(text), F.lit(1))
@@ -32,13 +41,15 @@ def texts(documents: DataFrame, targets: DataFrame, scratch: Scratch) -> DataFra
     smallest doc_id, so its repeats stay within one cap. Texts without tokens can't be drawn.
     """
     own = documents.select("doc_id", "source", "text").where(F.col("text").isNotNull() & (F.col("text") != ""))
-    own = own.join(F.broadcast(targets.select("source").distinct()), "source")  # one row per listed source
+    own = own.join(listed(targets.select("source").distinct()), "source")
     first = own.groupBy(F.sha2("text", 256).alias("digest")).agg(F.min("doc_id").alias("doc_id"))
     own = own.join(first, "doc_id", "left_semi").withColumn("tokens", bpe.counter()(F.col("text")).cast("bigint"))
-    own, _ = scratch.put(own.select("source", "doc_id", "tokens", quality(F.col("tokens"), F.col("text")).alias("weight")))
+    # of repeated ids one row, the same in every run
+    own = own.groupBy("doc_id").agg(F.min(F.struct("source", "tokens", quality(F.col("tokens"), F.col("text")).alias("weight"))).alias("x"))
+    own, _ = scratch.put(own.select("x.source", "doc_id", "x.tokens", "x.weight"))
     # a uniform number from the id: the same in every run, wherever the row is
     u = (F.shiftrightunsigned(F.xxhash64("doc_id", F.lit(SEED)), 11).cast("double") + 0.5) / F.lit(float(1 << 53))
-    return own.where("tokens > 0").dropDuplicates(["doc_id"]).withColumn("key", -F.log(u) / F.col("weight"))
+    return own.where("tokens > 0").withColumn("key", -F.log(u) / F.col("weight"))
 
 
 def budgets(own: DataFrame, targets: DataFrame, total_tokens: int | None) -> list[dict]:
@@ -81,7 +92,7 @@ def _mix(documents: DataFrame, targets: DataFrame, total_tokens: int | None) ->
     own = texts(documents, targets, scratch)
     plan = spark.createDataFrame(budgets(own, targets, total_tokens), SCHEMA)
     ranked = ranking.positions(own, "source", [F.col("key"), F.col("doc_id")], sums=["tokens"], scratch=scratch)
-    ranked = ranked.join(F.broadcast(plan.select("source", "epochs", "rest")), "source")  # one row per listed source
+    ranked = ranked.join(listed(plan.select("source", "epochs", "rest")), "source")
     drawn = F.col("before_tokens") + F.col("tokens") / 2 <= F.col("rest")
     uses = F.col("epochs") + F.when(drawn & (F.col("rest") > 0), 1).otherwise(0)
     return ranked.select("source", "doc_id", "tokens", uses.cast("int").alias("uses")).where("uses > 0"), plan
