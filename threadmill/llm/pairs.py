@@ -15,6 +15,7 @@ from collections import Counter
 from collections.abc import Iterator
 from re import _parser
 
+import ahocorasick
 import numpy as np
 import pandas as pd
 import xxhash
@@ -96,23 +97,37 @@ def tail_keys(tok: list[str]) -> tuple[int, int, int]:
     return _key("3", pad[-3:]), _key("*", pad[-4:-1]), _key("2", pad[-2:])
 
 
-def continuations(texts: Iterator[str]) -> Counter:
-    """Counts of (key, what follows there): 0 a sentence end, 1 more of the sentence, 2 the open end of the text."""
-    seen: Counter = Counter()
-    for text in texts:
-        pad = ["^", "^", "^", "^", *tokens(body_of(text))]
+#: Different places in texts that a task counts before it hands on what it has.
+PLACES = 200_000
+
+
+class Continuations:
+    """Counts of what follows each run of words: 0 a sentence end, 1 more of the sentence, 2 the open end of the text."""
+
+    def __init__(self) -> None:
+        self.seen: Counter = Counter()
+
+    def add(self, tok: list[str]) -> None:
+        pad = ["^", "^", "^", "^", *tok]
         last = len(pad) - 1
+        seen = self.seen
         for i in range(4, last + 1):
             w = pad[i]
             if w[0].isalpha() or w == "#":
                 seen[pad[i - 3], pad[i - 2], pad[i - 1], w, 2 if i == last else 0 if pad[i + 1][0] in ".!?…" else 1] += 1
-    # four words in a row are counted once, the keys made from them once each
-    out: Counter = Counter()
-    for (a, b, c, w, kind), n in seen.items():
-        out[_key("3", [b, c, w]), kind] += n
-        out[_key("*", [a, b, c]), kind] += n
-        out[_key("2", [c, w]), kind] += n
-    return out
+
+    def take(self) -> dict[int, list[int]]:
+        """Key to the three counts; starts anew. Four words in a row are hashed once for each of their keys."""
+        out: dict[int, list[int]] = {}
+        for (a, b, c, w, kind), n in self.seen.items():
+            for key in (_key("3", [b, c, w]), _key("*", [a, b, c]), _key("2", [c, w])):
+                if key in out:
+                    out[key][kind] += n
+                else:
+                    own = out[key] = [0, 0, 0]
+                    own[kind] = n
+        self.seen = Counter()
+        return out
 
 
 #: Share of the places where words stand that broken answers may leave as open ends; more are ends without a full stop.
@@ -168,6 +183,10 @@ def required(pattern: str) -> frozenset[str]:
 
 #: Without one of these there is nothing for REFUSE or DECLINE_WORDS to find.
 REFUSAL_PARTS = tuple(sorted(frozenset().union(*map(required, [*REFUSALS, DECLINE_WORDS.pattern]))))
+_PARTS = ahocorasick.Automaton()
+for _part in REFUSAL_PARTS:
+    _PARTS.add_word(_part, _part)
+_PARTS.make_automaton()
 # Characters that match a letter without regard to case though it isn't their lower case.
 _CASES = {"ı": "i", "İ": "i", "ſ": "s", "ᲀ": "в", "ᲁ": "д", "ᲂ": "о", "ᲃ": "с", "ᲄ": "т", "ᲅ": "т", "ᲆ": "ъ"}
 _FOLDS = str.maketrans(_CASES)
@@ -175,7 +194,7 @@ _FOLDS = str.maketrans(_CASES)
 
 def may_refuse(plain: str) -> bool:
     low = plain.lower() if plain.isascii() else plain.translate(_FOLDS).lower()
-    return any(p in low for p in REFUSAL_PARTS)
+    return next(_PARTS.iter(low), None) is not None
 
 
 #: A refusal told about somebody or something else.
@@ -247,9 +266,9 @@ def language_votes(fq: language.Found, fa: language.Found, gap: float, known: in
     return [1 if fa.confidence > 0.6 else -1, int(all(l != fq.lang for _, l, _ in fa.segments)), 1 if gap > 5.0 else -1]
 
 
-def end_vote(a: str, body: str, tail: list[str]) -> int:
-    """What the end itself says about breaking off."""
-    if END_MARK.search(a.rstrip()) or END_MARK.search(body) or not tail:
+def end_vote(body: str, tail: list[str]) -> int:
+    """What an end without a sentence mark says about breaking off."""
+    if END_MARK.search(body) or not tail:
         return 0
     if body.rstrip()[-1:] in ",;:-–(" or tail[-1] in OPEN_END and len(tail) > 3:
         return 1
@@ -279,9 +298,11 @@ def judge_all(questions: list[str | None], answers: list[str | None], model: lan
             at = language.LANGS.index(fa.lang)
             known = sum(1 for w in words if w in model.words and model.words[w][at] > 0)
             lang = language_votes(fq, fa, v[at] - v[language.LANGS.index(fq.lang)], known)
-        body = body_of(a)
-        tail = tokens(body)
-        end = end_vote(a, body, tail)
+        end, tail = 0, []
+        if not END_MARK.search(a.rstrip()):
+            body = body_of(a)
+            tail = tokens(body)
+            end = end_vote(body, tail)
         out.append(([0, 0, 0, *copy_votes(q, a, qwords, words), *refusal_votes(a, qwords, words), *lang, end], tail if end else []))
     return out
 
@@ -376,6 +397,12 @@ def scored(own: DataFrame, documents: DataFrame) -> DataFrame:
             none = pd.array([None] * n, dtype="Int64")
             return pd.DataFrame({c: columns.get(c, none if c not in ("code", "v") else np.full(n, None, dtype=object)) for c in names})
 
+        def told(seen: dict[int, list[int]]) -> pd.DataFrame:
+            counts = np.array(list(seen.values()), dtype=np.int64).reshape(-1, 3)
+            return frame(len(seen), {"key": pd.array(list(seen), dtype="Int64")} | {c: pd.array(counts[:, i], dtype="Int64") for i, c in enumerate(("ends", "goes_on", "open"))})
+
+        # how sentences go on is counted on the way
+        counted = Continuations()
         for b in batches:
             rows = []
             for v, tail in judge_all(b["question"].tolist(), b["answer"].tolist(), model.value):
@@ -383,12 +410,13 @@ def scored(own: DataFrame, documents: DataFrame) -> DataFrame:
             columns = {k: pd.array([r[i] for r in rows], dtype="Int64") for i, k in enumerate(("k3", "kx", "k2"), 1)}
             v = pd.Series([r[0] for r in rows], dtype=object)
             yield frame(len(rows), {"code": b["code"].to_numpy(), "own": pd.array([r[4] for r in rows], dtype="Int64"), "v": v} | columns)
-            # how sentences go on, counted over the same batch
-            seen: dict[int, list[int]] = {}
-            for (k, kind), n in continuations(t.translate(PLAIN) for c in ("question", "answer") for t in b[c] if t).items():
-                seen.setdefault(k, [0, 0, 0])[kind] += n
-            counts = np.array(list(seen.values()), dtype=np.int64).reshape(-1, 3)
-            yield frame(len(seen), {"key": pd.array(list(seen), dtype="Int64")} | {c: pd.array(counts[:, i], dtype="Int64") for i, c in enumerate(("ends", "goes_on", "open"))})
+            for c in ("question", "answer"):
+                for t in b[c]:
+                    if t:
+                        counted.add(tokens(body_of(t.translate(PLAIN))))
+            if len(counted.seen) > PLACES:
+                yield told(counted.take())
+        yield told(counted.take())
 
     # a pair that occurs in several rows is judged once; the digest stands for it
     coded, _ = scratch.put(own.withColumn("code", F.md5(F.concat_ws("\x00", F.coalesce("question", F.lit("")), F.coalesce("answer", F.lit(""))))))
