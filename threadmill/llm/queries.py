@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..operators.durable import spread
 from ..operators.redelivery import keep_first
-from ..plans.queries import s_found, s_strip
+from ..plans.queries import q, s_all, s_found, s_strip, s_sub
 from . import abuse, bpe, conversations, formatdup, language, mix, pairs, pii
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -83,5 +83,28 @@ def s_turns() -> str:
       SELECT root AS conv_id, CAST(n AS INTEGER) AS turn_no, id AS message_id, role FROM turns WHERE users > 0 AND users < all_turns"""
 
 
+def s_copies() -> str:
+    """The pairs of p5_found: every value of every row cut up on its own, rows with equal tuples or equal letters joined by
+    spreading the smallest id (more often than any chain of the tables is long)."""
+
+    def letters(x: str) -> str:
+        return s_sub(f"replace(translate(lower(upper({x})), 'ςẞ', 'σß'), 'ß', 'ss')", r"[^\p{L}\p{N}]+")
+
+    solid = lambda x: s_found(x, formatdup.HAS_LETTER)
+    field = lambda x, n: letters(f"regexp_extract({x}, {q(formatdup.FIELD)}, {n})")
+    spread = "min(label) OVER (PARTITION BY {}) AS label"
+    rounds = "".join(f", s{i + 1} AS (SELECT row_id, tuple, letters, {spread.format(('letters', 'tuple')[i % 2])} FROM s{i})" for i in range(8))
+    return f"""WITH vals AS (SELECT row_id, text, list_concat([array_to_string({s_all("text", formatdup.TAG)}, '')], string_split_regex(text, {q(formatdup.TAG)})) AS v FROM dump WHERE text IS NOT NULL),
+      own AS (SELECT row_id, text, unnest(v) AS value, unnest(range(len(v))) AS pos FROM vals WHERE len(list_filter(v[2:], lambda x: {solid("x")})) > 0),
+      cuts AS (SELECT *, CASE WHEN {s_found("value", "[:=]")} THEN list_filter(string_split_regex(value, {q(formatdup.CUT)}), lambda x: {solid("x")}) ELSE [] END AS cut FROM own WHERE {solid("value")}),
+      marked AS (SELECT *, array_to_string(list_transform(cut, lambda x: CASE WHEN {s_found("x", formatdup.FIELD)} THEN '1' ELSE '0' END), '') AS marks FROM cuts),
+      placed AS (SELECT *, CASE WHEN {s_found("marks", "11$")} THEN length(regexp_extract(marks, '^(.*?)1+$', 1)) END AS head FROM marked),
+      told AS (SELECT row_id, pos, CASE WHEN head IS NULL THEN {letters("value")} ELSE {letters("array_to_string(cut[1:head], '')")} || chr(1) ||
+        array_to_string(list_sort(list_transform(cut[head + 1:], lambda x: {field("x", 1)} || '=' || {field("x", 2)})), chr(1)) END AS piece FROM placed),
+      tuples AS (SELECT row_id, string_agg(CASE WHEN pos > 0 THEN 'x' ELSE 't' END || piece, chr(2) ORDER BY pos) AS tuple FROM told GROUP BY row_id),
+      s0 AS (SELECT row_id, tuple, {letters("text")} AS letters, row_id AS label FROM tuples JOIN vals USING (row_id)){rounds}
+      SELECT label AS keep_id, row_id FROM s8 WHERE label <> row_id"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"p2_found": s_turns()}
+    return {"p2_found": s_turns(), "p5_found": s_copies()}
