@@ -62,6 +62,9 @@ def _class(symbols: str) -> str:
 BULLET_LINE = f"^{rx.S}*[{_class(BULLETS + LIST_ONLY)}]"
 TRADE_EDGE = f"[{rx.SPACES}{_class(BULLETS + TRADE_ONLY)}]"
 TRADE = rf"(?iu)(?:^|{TRADE_EDGE})(?:{TRADE_WORDS})(?:{TRADE_EDGE}|$)"
+#: The same for Java: letters and digits, most of a text, are ruled out before the long class of edges is looked through.
+_QUICK_EDGE = rf"(?: |(?![a-zA-Z0-9]){TRADE_EDGE})"
+QUICK_TRADE = rf"(?iu)(?:^|{_QUICK_EDGE})(?:{TRADE_WORDS})(?:{_QUICK_EDGE}|$)"
 NUMBER_START = rf"^{rx.S}*\p{{Nd}}+"
 #: Words that open a line of code; a parameter of ``count_code_like_lines``.
 CODE_WORDS = [
@@ -91,7 +94,7 @@ def _count(lines: Column, test: Callable[[Column], Column]) -> Column:
 
 def card_trade(text: Column) -> Column:
     body = rx.strip(text)
-    return (F.length(body) >= 10) & (rx.found(body, r"^\p{Nd}{13,16}") | rx.found(body, TRADE))
+    return (F.length(body) >= 10) & (rx.found(body, r"^\p{Nd}{13,16}") | rx.found(body, QUICK_TRADE))
 
 
 def code_like(text: Column, turns: Column, mode: str = "actual") -> Column:
@@ -104,13 +107,13 @@ def code_like(text: Column, turns: Column, mode: str = "actual") -> Column:
 
 
 def emoji_spam(text: Column) -> Column:
-    return rx.found(text, f"{rx.EMOJI}{rx.S}*{rx.EMOJI}")
+    return rx.found(text, rx.NON_ASCII) & rx.found(text, f"{rx.EMOJI}{rx.S}*{rx.EMOJI}")
 
 
 def bulletpoint_list(turns: Column) -> Column:
     def bullety(m: Column) -> Column:
         own = rx.lines(m)
-        return (F.size(own) > 2) & (_count(own, lambda l: rx.found(l, BULLET_LINE)) / F.size(own) >= 0.5)
+        return rx.found(m, rx.NL_CHAR) & (F.size(own) > 2) & (_count(own, lambda l: rx.found(l, BULLET_LINE)) / F.size(own) >= 0.5)
 
     return F.exists(_msgs(turns), bullety)
 
@@ -138,7 +141,7 @@ def nonlatin_script(turns: Column, share: float = SCRIPT_SHARE) -> Column:
     """Label of the first message with that share of marks, format characters or letters of the listed scripts; else NULL."""
     clean = F.transform(_msgs(turns), chatml.strip_structural)
     first = F.get(
-        F.filter(clean, lambda m: (F.length(m) > 0) & (F.regexp_count(m, F.lit(FOREIGN)) / F.length(m) >= share)), F.lit(0)
+        F.filter(clean, lambda m: rx.found(m, rx.NON_ASCII) & (F.regexp_count(m, F.lit(FOREIGN)) / F.length(m) >= share)), F.lit(0)
     )
     label = F.coalesce(*[F.when(rx.found(first, f"[{r}]"), F.lit(name.upper())) for r, name in SCRIPTS], F.lit("OTHER"))
     return F.when(first.isNotNull(), label)
@@ -147,7 +150,7 @@ def nonlatin_script(turns: Column, share: float = SCRIPT_SHARE) -> Column:
 def single_word_lines(turns: Column) -> Column:
     def short(m: Column) -> Column:
         own = rx.solid_lines(m)
-        return (F.size(own) > 4) & (_count(own, lambda l: F.regexp_count(l, F.lit(f"{rx.NOT_S}+")) <= 2) >= 2)
+        return rx.found(m, rx.NL_CHAR) & (F.size(own) > 4) & (_count(own, lambda l: F.regexp_count(l, F.lit(f"{rx.NOT_S}+")) <= 2) >= 2)
 
     return F.exists(_msgs(turns), short)
 
@@ -155,13 +158,10 @@ def single_word_lines(turns: Column) -> Column:
 def service_ad(text: Column) -> Column:
     own, low = rx.lines(text), F.lower(text)
     words = rf"(?iu)(?:^|{rx.NOT_W})(?:{SERVICE_WORDS})(?:{rx.NOT_W}|$)"
-    return (
-        F.contains(low, F.lit("accepting"))
-        & F.contains(low, F.lit("offering"))
-        & (F.size(own) >= 4)
-        & (_count(own, lambda l: rx.found(l, BULLET_LINE)) >= 2)
-        & (_count(own, lambda l: rx.found(l, words)) >= 2)
-    )
+    both = F.contains(low, F.lit("accepting")) & F.contains(low, F.lit("offering"))
+    listed = (F.size(own) >= 4) & (_count(own, lambda l: rx.found(l, BULLET_LINE)) >= 2) & (_count(own, lambda l: rx.found(l, words)) >= 2)
+    # CASE keeps what the parts of a conjunction share from being computed ahead of its first part
+    return F.when(both, listed).otherwise(both)
 
 
 def multi_newlines(turns: Column) -> Column:
@@ -175,7 +175,7 @@ def discord_timestamp(turns: Column) -> Column:
 def duplicate_lines_only(turns: Column) -> Column:
     def same(m: Column) -> Column:
         own = rx.solid_lines(m)
-        return (F.size(own) >= 2) & (F.size(F.array_distinct(own)) == 1)
+        return rx.found(m, rx.NL_CHAR) & (F.size(own) >= 2) & (F.size(F.array_distinct(own)) == 1)
 
     return F.exists(_msgs(turns), same)
 
@@ -188,13 +188,16 @@ def numbered_line_block(turns: Column) -> Column:
 
     def block(m: Column) -> Column:
         own = rx.solid_lines(m)
-        return (F.size(own) > 4) & (_count(own, numbered) >= 2)
+        return rx.found(m, rx.NL_CHAR) & (F.size(own) > 4) & (_count(own, numbered) >= 2)
 
     return F.exists(_msgs(turns), block)
 
 
+NUMERIC_LINE = rf"(?:\A|{rx.NL_CHAR}){rx.S}*[{rx.DIGITS}]+{rx.S}*(?:{rx.NL_CHAR}|\z)"
+
+
 def numeric_only_line(turns: Column) -> Column:
-    return F.exists(_msgs(turns), lambda m: F.exists(rx.solid_lines(m), lambda l: rx.found(l, rf"\A[{rx.DIGITS}]+\z")))
+    return F.exists(_msgs(turns), lambda m: rx.found(m, NUMERIC_LINE))
 
 
 def slur(text: Column) -> Column:

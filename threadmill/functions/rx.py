@@ -28,6 +28,11 @@ DIGITS = (
     r"\x{11052}-\x{1105a}\x{1f100}-\x{1f10a}"
 )
 
+#: One character that ends a line.
+NL_CHAR = r"[\n-\r\x1c-\x1e\x{85}\x{2028}\x{2029}]"
+#: Costly patterns that only match texts with such a character are tried on those alone.
+NON_ASCII = r"[^\x00-\x7f]"
+
 STRIP = f"\\A{S}+|{S}+\\z"
 
 _PICTURE = (

@@ -36,7 +36,9 @@ def strip_flower_and_trailing_colon(c: str | Column) -> Column:
 
 
 def strip_emojis(c: str | Column) -> Column:
-    return rx.sub(c, rx.EMOJI)
+    """No emoji is all ASCII, so plain texts are passed on as they are."""
+    c = rx.col(c)
+    return F.when(rx.found(c, rx.NON_ASCII), rx.sub(c, rx.EMOJI)).otherwise(c)
 
 
 def clean_commas_and_periods(c: str | Column) -> Column:
