@@ -16,6 +16,7 @@ import re
 from collections import Counter, defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -78,12 +79,8 @@ def label_code(label: str | None) -> str | None:
 
 def sentences(text: str) -> list[list[str]]:
     """Lower-case words of each sentence; tags, links, stamps and speakers left out."""
-    out = []
-    for s in END.split(NOISE.sub("\x00", text)):
-        words = [w for w in WORD.findall(s.lower().replace("’", "'"))]
-        if words:
-            out.append(words)
-    return out
+    bare = NOISE.sub("\x00", text).lower().replace("’", "'")
+    return [words for words in map(WORD.findall, END.split(bare)) if words]
 
 
 @dataclass
@@ -143,14 +140,12 @@ class Model:
         """Sums of the table rows over the words of each sentence; no sentence may be empty."""
         if len(self.at) > 1 << 19:  # start again rather than grow without end
             self.at, self.table = {}, np.zeros((1024, self.table.shape[1]), dtype=np.float32)
-        ids, starts = [], []
-        at, row = self.at, self.row
-        for s in sents:
-            starts.append(len(ids))
-            for w in s:
-                i = at.get(w)
-                ids.append(row(w) if i is None else i)
-        return np.add.reduceat(self.table[ids].astype(np.float64), starts) if sents else np.zeros((0, self.table.shape[1]))
+        words = list(chain.from_iterable(sents))
+        ids = list(map(self.at.get, words))
+        if None in ids:
+            ids = [self.row(w) if i is None else i for w, i in zip(words, ids)]
+        starts = np.cumsum([0, *map(len, sents)])[:-1]
+        return np.add.reduceat(self.table[ids], starts, dtype=np.float64) if len(sents) else np.zeros((0, self.table.shape[1]))
 
     def score(self, words: list[str]) -> np.ndarray:
         out = np.zeros(len(LANGS))
