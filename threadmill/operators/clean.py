@@ -12,6 +12,7 @@ from pyspark.sql.window import Window
 
 from ..functions import chatml, predicates, rx, slang, text
 from ..functions.slang import quoted
+from .durable import Scratch
 
 
 def need(df: DataFrame, *names: str) -> None:
@@ -147,14 +148,16 @@ class Cleaned:
 
 def four_stages(
     df: DataFrame, col: str = "text", row_id: str = "row_id", n: int | None = None, seed: int | None = 0, code_mode: str = "actual",
-    length: Callable[[Column], Column] | None = None, max_tokens: float | None = None,
+    length: Callable[[Column], Column] | None = None, max_tokens: float | None = None, scratch: Scratch | None = None,
 ) -> Cleaned:
     """All four stages as one lazy plan; every stage is a DataFrame of its own.
 
     ``length``: tokens of a text, by default words and punctuation marks (``tokens.tokenizer_len`` for a tokenizer file).
-    With it, rows that it fails on are rejected as TOKEN_ERROR; with ``max_tokens`` longer ones as TOO_LONG."""
+    With it, rows that it fails on are rejected as TOKEN_ERROR; with ``max_tokens`` longer ones as TOO_LONG. ``scratch``:
+    the first stage, by far the costliest, is written there once for all stages that are read from it."""
     count = length or (text.token_len if max_tokens is not None else None)
-    good, bad = split_reason(trim_and_reject(df, col, code_mode, count(F.col(quoted(col))) if count else None, max_tokens))
+    trimmed = trim_and_reject(df, col, code_mode, count(F.col(quoted(col))) if count else None, max_tokens)
+    good, bad = split_reason(scratch.put(trimmed)[0] if scratch else trimmed)
     changes = slang.slang_changes(good, row_id)
     plain = pinned(good, **{c: slang.replace_slang(quoted(c)) for c in slang.string_columns(good)})
     resampled = resample(plain, col, row_id, n, seed, length(F.col(quoted(col))) if length else None)

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from .. import sources
 from ..functions import tokens
 from ..operators import clean, messages, risk
+from ..operators.durable import Scratch
 
 
 def parse(argv: list[str] | None = None) -> argparse.Namespace:
@@ -51,7 +52,7 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> No
             sources.write(clean.dedupe_chats(df, a.text_col, mode=a.mode), out("_deduped"), **dialect)
         else:
             length = (lambda c: tokens.tokenizer_len(c, a.tokenizer)) if a.tokenizer else None
-            done = clean.four_stages(df, a.text_col, n=a.target_size, seed=a.seed, code_mode=a.code_mode, length=length, max_tokens=a.max_tokens)
+            done = clean.four_stages(df, a.text_col, n=a.target_size, seed=a.seed, code_mode=a.code_mode, length=length, max_tokens=a.max_tokens, scratch=Scratch(spark, "stages"))
             for name in ("good", "bad", "done"):
                 sources.write(getattr(done, name), out(f"_{name}"), **dialect)
             for name in ("changes", "resampled", "invalid"):

@@ -295,7 +295,8 @@ def _four_stages(spark: SparkSession, d: str) -> tuple[DataFrame, clean.Cleaned]
 
 
 def _stage_counts(spark: SparkSession, d: str) -> DataFrame:
-    return clean.stage_counts(*_four_stages(spark, d))
+    df = wide(spark, d, "dump").select("row_id", "text", "source")
+    return clean.stage_counts(df, clean.four_stages(df, scratch=Scratch(spark, "stages")))
 
 
 def _unique_counts(spark: SparkSession, d: str) -> DataFrame:
