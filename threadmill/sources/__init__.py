@@ -13,6 +13,8 @@ def read_csv(spark: SparkSession, path: str | list[str], sep: str = ",", quote:
     """Header row, every column a string, quoted fields may span lines. ``drop_null``: rows with NULL there are left out."""
     reader = spark.read.option("header", True).option("multiLine", True).option("escape", quote).option("quote", quote).option("sep", sep)
     reader = reader.option("encoding", "UTF-8").option("inferSchema", False).option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
+    # a field without anything is NULL, a pair of quotes an empty text; by default both would be NULL
+    reader = reader.option("nullValue", "\0").option("emptyValue", "")
     df = (reader.schema(schema) if schema else reader).csv(path)
     return df.na.drop(subset=[drop_null]) if drop_null else df
 
@@ -88,8 +90,9 @@ def read_table(spark: SparkSession, name: str) -> DataFrame:
 
 
 def write_csv(df: DataFrame, path: str, sep: str = ",", quote: str = '"') -> None:
-    """Header and minimal quoting; the committer moves finished files into place, so no half-written output is visible."""
-    own = df.write.mode("overwrite").option("header", True).option("sep", sep).option("quote", quote).option("escape", quote).option("emptyValue", "")
+    """Header and minimal quoting, an empty text being a pair of quotes so that it isn't read as NULL; the committer moves
+    finished files into place, so no half-written output is visible."""
+    own = df.write.mode("overwrite").option("header", True).option("sep", sep).option("quote", quote).option("escape", quote).option("emptyValue", quote * 2)
     # the writer would strip white space at both ends of a field
     own.option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path)
 
