@@ -380,4 +380,36 @@ def test_evaded_words_are_learned():
     assert CATS[int(z[0].argmax())] == "abuse"
 
 
+def test_self_labelled_sentences_count_as_often_as_they_come(spark):
+    """The company of an evaded word: all its uses are held against all of the word's, not one use a sentence."""
+    labels = spark.createDataFrame([(i, c, l) for i, (c, l) in enumerate(LABELS * 3)], "sample_id int, content string, label string")
+    said = ["you gr0bnik, snarfle off", "dirty g.r.o.b.n.i.k, snarfle off", "hey ｇｒｏｂｎｉｋ, snarfle off", "shut up grobnik, snarfle off"]
+    calm = ["thanks for the help with the lamp and the table", "we should meet in the kitchen tonight"]
+    texts = [t for ts, n in ((said, 150), (calm, 1500)) for t in ts for _ in range(n)]
+    df = spark.createDataFrame([(str(i), t) for i, t in enumerate(texts)], "rec_id string, text string").repartition(3)
+    model, _ = abuse.train(labels, df, abuse.Scratch(spark, "abuse"))
+    assert model.unigram[model.ids["grobnik"], 0] > 0
+    assert model.unigram[model.ids["snarfle"], 0] > 0
+
+
+def test_own_counts_add_up_over_batches():
+    rows_ = [(c, l) for c, l in LABELS]
+    own = ["you grobnik go away", "shut up grobnik go away", "what a grobnik you are", "show me your tits grobnik"]
+    lexicon, lists = abuse.vocabulary(rows_, {"grobnik": 0.0})
+    base = abuse.skeleton(rows_, abuse.terms(lexicon, own), lexicon, lists, {"grobnik": 0.0})
+    n = np.array([1, 4, 9, 16])
+    whole = abuse.own_counts([base, base], *base.encode(own), n)
+    parts = sum(abuse.own_counts([base, base], *base.encode([t]), n[i : i + 1]) for i, t in enumerate(own))
+    assert (whole == parts).all()
+    assert whole[:, 1, :, base.ids["grobnik"]].sum() == 2 * 30 and whole[0, 1, :, -1].sum() == 30
+    assert whole[0, 0, :, base.ids["grobnik"]].sum() == (1 + 2 + 3 + 4) * abuse.GRAIN
+
+
+def test_listed_words_of_innocent_rows_weigh_less():
+    rows_ = [(c, l) for c, l in LABELS] + [(f"{x}, porn is what the filter calls it", "none") for x in ("well", "look", "again", "yes", "hm", "now")]
+    told, plain_ = abuse.fit(rows_), abuse.fit(rows_[: len(LABELS)])
+    assert told.unigram[told.ids["porn"], 2] < plain_.unigram[plain_.ids["porn"], 2] - 0.5
+
+
+
 CATS = abuse.CATEGORIES
