@@ -422,4 +422,12 @@ def test_echoes_are_told_by_shared_words():
     assert np.isinf(both[0]) and both[2] > 0 and apart[0] > 0 and apart[2] > 0
 
 
+def test_own_sentences_without_scores_are_told_by_the_lists():
+    rows_ = [(c, l) for c, l in LABELS]
+    lexicon, lists = abuse.vocabulary(rows_, {"porn": 0.0})
+    base = abuse.skeleton(rows_, abuse.terms(lexicon, []), lexicon, lists, {"porn": 0.0})
+    counts = abuse.own_counts([base], *base.encode(["got porn on call", "got on call"]), np.array([2, 3]))
+    assert counts[0, 1, :, -1].tolist() == [3, 0, 2]
+
+
 CATS = abuse.CATEGORIES
